@@ -34,7 +34,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def rnd(expr: str, digits: int = 6) -> str:
     """Half-up rounding as Spark does it (on the decimal text, not on the binary value)."""
-    return f"CAST(round(CAST({expr} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,20)), {digits}) AS DOUBLE)"
 
 
 def sql_list(values) -> str:
@@ -218,7 +218,7 @@ SELECT l.cik, c.company_name, c.ticker, c.industry_group, l.period_end AS latest
   coalesce(f.max_reporting_lag_days, 0) AS max_reporting_lag_days, {rnd(_SCORE, 4)} AS pre_ml_risk_score,
   CASE {' '.join(f"WHEN {x} = 1 THEN '{x[5:]}'" for x in K.FLAGS)} ELSE 'None' END AS dominant_signal,
   gross_margin_avg4, operating_margin_avg4, net_margin_avg4, revenues_sum4
-FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cik ORDER BY period_end DESC, form, id) AS rn FROM history) WHERE rn = 1) l
+FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cik ORDER BY period_end DESC, form, id) AS rn FROM history WHERE form = '10-K') WHERE rn = 1) l
 LEFT JOIN t_companies c ON l.cik = c.cik LEFT JOIN filing_agg f ON l.cik = f.cik)"""
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions import constants as K
@@ -20,15 +20,11 @@ def available(df: DataFrame, wanted: Sequence[str] = K.FEATURES) -> tuple[list[s
     return [c for c in wanted if c in have], [c for c in wanted if c not in have]
 
 
-def _one_row(df: DataFrame, names: Sequence[str]) -> Column:
-    """A one-row table as a scalar subquery."""
-    return df.select(F.struct(*names)).scalar()
-
-
 def build(candidates: DataFrame) -> DataFrame:
     """Counts: null -> 0. Ratios: null -> median, then clipped at the 1st and 99th percentile.
 
-    The clip points are those of the filled column.
+    The clip points are those of the filled column. Like any fitted transformer, the two
+    passes bring a single row of statistics to the driver.
     """
     present, _ = available(candidates)
     counts = [c for c in present if c in K.COUNT_FEATURES]
@@ -38,31 +34,25 @@ def build(candidates: DataFrame) -> DataFrame:
         *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in counts],
         *[F.col(c).cast("double").alias(c) for c in ratios],
     ).persist()  # one row per company, read by both statistics passes and the result
-    med = percentile_row(base, ratios, [0.5])
-    filled = base.withColumn("_m", _one_row(med, med.columns))
-    filled = filled.withColumns({c: F.coalesce(F.col(c), F.col(f"_m.{c}_p0")) for c in ratios}).drop("_m")
-    cut = percentile_row(filled, ratios, [0.01, 0.99])
-    clipped = filled.withColumn("_c", _one_row(cut, cut.columns))
-    return clipped.withColumns({c: clamp(c, F.col(f"_c.{c}_p0"), F.col(f"_c.{c}_p1")) for c in ratios}).drop("_c")
+    med = percentile_row(base, ratios, [0.5]).first()
+    filled = base.withColumns({c: F.coalesce(F.col(c), F.lit(med[f"{c}_p0"])) for c in ratios})
+    cut = percentile_row(filled, ratios, [0.01, 0.99]).first()
+    return filled.withColumns({c: clamp(c, F.lit(cut[f"{c}_p0"]), F.lit(cut[f"{c}_p1"])) for c in ratios})
 
 
-def scaler(features: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row: <column>_mid and <column>_range (a zero range counts as 1)."""
-    q = percentile_row(features, columns, [0.25, 0.5, 0.75])
-    out = []
-    for c in columns:
-        width = F.col(f"{c}_p2") - F.col(f"{c}_p0")
-        out += [F.col(f"{c}_p1").alias(f"{c}_mid"), F.when(width == 0, 1.0).otherwise(width).alias(f"{c}_range")]
-    return q.select(*out)
+def scaler(features: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """Median and interquartile range per column; a zero range counts as 1."""
+    q = percentile_row(features, columns, [0.25, 0.5, 0.75]).first()
+    known = [c for c in columns if q[f"{c}_p1"] is not None]
+    return {c: (q[f"{c}_p1"], (q[f"{c}_p2"] - q[f"{c}_p0"]) or 1.0) for c in known}
 
 
-def apply_scaler(features: DataFrame, row: DataFrame, columns: Sequence[str]) -> DataFrame:
-    held = features.withColumn("_s", _one_row(row, row.columns))
-    return held.withColumns({c: (F.col(c) - F.col(f"_s.{c}_mid")) / F.col(f"_s.{c}_range") for c in columns}).drop("_s")
+def apply_scaler(features: DataFrame, fitted: dict[str, tuple[float, float]]) -> DataFrame:
+    return features.withColumns({c: (F.col(c) - F.lit(mid)) / F.lit(width) for c, (mid, width) in fitted.items()})
 
 
 def scale(features: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return apply_scaler(features, scaler(features, columns), columns)
+    return apply_scaler(features, scaler(features, columns))
 
 
 TRENDS = {

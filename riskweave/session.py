@@ -15,6 +15,7 @@ def build_session(app: str = "riskweave", master: str | None = None, shuffle_par
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     if master:
         builder = builder.master(master)
@@ -46,6 +47,12 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The rows as a table in the shared folder.
+
+    A written table survives the loss of executors like a checkpoint does, and its size is known
+    to the planner; a checkpoint would carry the estimates of its plan on, and those multiply with
+    every round of an iterative job.
+    """
+    path = new_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
