@@ -6,6 +6,6 @@ __all__ = ["ORACLE", "QUERIES", "load"]
 
 
 def load():
-    from riskweave.catalog import digits, graphs, ingest, mart_queries, texts  # noqa: F401
+    from riskweave.catalog import digits, governance_queries, graphs, ingest, jobs, mart_queries, texts  # noqa: F401
 
     return QUERIES, ORACLE

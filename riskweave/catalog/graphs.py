@@ -6,6 +6,7 @@ from riskweave.catalog.base import CTES, query, rnd, rounded
 from riskweave.operators import graph as G
 from riskweave.operators import network as N
 from riskweave.plans import fusion
+from riskweave.session import cut_lineage
 
 CTES["ml"] = f"""
 SELECT d.cik, ticker, company_name, industry_group, decision AS isolation_forest_score, {rnd('pct', 1)} AS anomaly_percentile,
@@ -45,13 +46,12 @@ def ml_scores(t):
 
 def graph(t):
     companies = G.company_nodes(t.companies, ml_scores(t), t.decisions)
-    return G.build_nodes(companies, t.auditors, t.relationships), G.build_edges(companies, t.auditors, t.relationships)
+    ties = cut_lineage(t.relationships)  # read by nodes and edges
+    return G.build_nodes(companies, t.auditors, ties), G.build_edges(companies, t.auditors, ties)
 
 
 def kept_graph(t):
     """The graph of the iterative jobs, stored once for all their rounds."""
-    from riskweave.session import cut_lineage
-
     nodes, edges = graph(t)
     return cut_lineage(nodes), cut_lineage(edges)
 
@@ -123,12 +123,12 @@ def _(t):
 
 
 @query("jn12_ownership_chains", """WITH RECURSIVE hop(pos, chain, used, depth) AS (
- SELECT id, [coalesce(nullif(ticker, ''), id)], []::VARCHAR[], 0 FROM nodes WHERE id = '0000000005'
+ SELECT id, [coalesce(nullif(ticker, ''), id)], []::VARCHAR[], 0 FROM nodes WHERE id = '0000000003'
  UNION ALL SELECT e.dst, list_append(chain, coalesce(nullif(n.ticker, ''), n.id)), list_append(used, pos || '>' || e.dst), depth + 1
  FROM hop JOIN edges e ON e.src = hop.pos AND e.edge_type = 'SUBSIDIARY_OF' JOIN nodes n ON n.id = e.dst WHERE depth < 3 AND NOT list_contains(used, pos || '>' || e.dst))
  SELECT array_to_string(chain, ' > ') AS chain, depth FROM hop WHERE depth > 0""")
 def _(t):
-    return G.ownership_chains(*graph(t), "0000000005")
+    return G.ownership_chains(*kept_graph(t), "0000000003")
 
 
 @query("tk03_high_risk", "SELECT id AS cik, ticker, name AS company_name, ml_risk_score, risk_tier FROM nodes WHERE node_type = 'Company' AND ml_risk_score >= 50 ORDER BY ml_risk_score DESC, id LIMIT 20")

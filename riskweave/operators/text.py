@@ -43,6 +43,12 @@ def primary_link(html: Column | str) -> Column:
     return F.element_at(F.split(found, "/"), -1)
 
 
+def _last_place(text: Column, part: Column) -> Column:
+    """Zero-based place of the last occurrence of a part that is known to be there."""
+    behind = F.call_function("substring_index", text, part, F.lit(-1))
+    return F.char_length(text) - F.char_length(behind) - F.char_length(part)
+
+
 def sections(docs: DataFrame, headings: Sequence[tuple[str, str, str]] = tuple(K.SECTIONS), max_chars: int | None = None, min_chars: int = 100) -> DataFrame:
     """One row per section: from the last match of its heading to the start of the next section.
 
@@ -50,22 +56,22 @@ def sections(docs: DataFrame, headings: Sequence[tuple[str, str, str]] = tuple(K
     default a section is taken whole.
     """
     low = docs.withColumn("_low", F.lower("text"))
+    # one scan per heading finds its last match; its place is that of the matched text
+    low = low.withColumns({f"_h_{key}": F.try_element_at(F.regexp_extract_all("_low", F.lit(pattern), F.lit(0)), F.lit(-1)) for key, pattern, _ in headings})
     marks = F.array_compact(F.array(*[
         F.when(
-            F.col("_low").rlike(pattern),
-            F.struct(F.char_length(F.regexp_extract("_low", f"(?s)^(.*){pattern}", 1)).alias("pos"), F.lit(key).alias("section_key"), F.lit(title).alias("section_name")),
+            F.col(f"_h_{key}").isNotNull(),
+            F.struct(_last_place(F.col("_low"), F.col(f"_h_{key}")).alias("pos"), F.lit(key).alias("section_key"), F.lit(title).alias("section_name")),
         )
-        for key, pattern, title in headings
+        for key, _, title in headings
     ]))
-    found = low.withColumn("_m", F.array_sort(marks)).drop("_low")
-    full = F.array(F.struct(F.lit(0).alias("pos"), F.lit("full").alias("section_key"), F.lit("Full Filing").alias("section_name")))
-    spans = F.when(F.size("_m") > 0, F.col("_m")).otherwise(full)
-    rows = found.withColumn("_s", spans).withColumn(
-        "_s", F.transform("_s", lambda s, i: F.struct(s["pos"].alias("pos"), s["section_key"].alias("section_key"), s["section_name"].alias("section_name"),
-                                                      F.coalesce(F.get(F.col("_s.pos"), i + 1), F.char_length("text")).alias("stop")))
-    )
     others = [c for c in docs.columns if c != "text"]
-    cut = rows.select(*others, "text", F.size("_m").alias("_n"), F.inline("_s"))
+    # the one-element explode keeps the planner from copying the scans into every later use
+    found = low.select(*others, "text", F.explode(F.array(F.array_sort(marks))).alias("_m"))
+    full = F.array(F.struct(F.lit(0).alias("pos"), F.lit("full").alias("section_key"), F.lit("Full Filing").alias("section_name")))
+    stops = F.concat(F.slice("_m.pos", 2, F.greatest(F.size("_m"), F.lit(1))), F.array(F.char_length("text")))
+    spans = F.arrays_zip(F.when(F.size("_m") > 0, F.col("_m")).otherwise(full).alias("s"), stops.alias("stop"))
+    cut = found.select(*others, "text", F.size("_m").alias("_n"), F.inline(spans)).select(*others, "text", "_n", "s.*", "stop")
     length = F.col("stop") - F.col("pos")
     if max_chars is not None:
         length = F.least(length, F.lit(max_chars))
