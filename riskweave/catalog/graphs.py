@@ -29,7 +29,7 @@ SELECT parent_cik, subsidiary_cik, CASE relationship_type WHEN 'SUBSIDIARY' THEN
 CTES["links"] = "SELECT DISTINCT src, dst FROM edges"
 CTES["bag"] = "SELECT src AS id, dst AS neighbour FROM links UNION ALL SELECT dst, src FROM links"
 CTES["net"] = """
-SELECT n.*, coalesce(least(x.m * 0.3::DOUBLE, 100), 0) AS network_risk_score FROM nodes n LEFT JOIN
+SELECT n.*, least(coalesce(x.m * 0.3::DOUBLE, 0), 100) AS network_risk_score FROM nodes n LEFT JOIN
  (SELECT bag.id, CAST(sum(CAST(k.ml_risk_score AS DECIMAL(20,4))) AS DOUBLE) / count(*) AS m FROM bag JOIN nodes k ON k.id = bag.neighbour AND k.node_type = 'Company' GROUP BY bag.id) x ON n.id = x.id"""
 CTES["owned"] = "SELECT src AS id, dst AS neighbour FROM edges WHERE edge_type = 'SUBSIDIARY_OF' UNION SELECT dst, src FROM edges WHERE edge_type = 'SUBSIDIARY_OF'"
 CTES["groups"] = """
@@ -197,7 +197,7 @@ def _(t):
     return G.critical_connectors(nodes, N.centrality(nodes, edges))
 
 
-@query("gr03_rank_weighted_risk", f"""SELECT n.id, {rnd('coalesce(least(x.m * 0.3::DOUBLE, 100), 0)', 4)} AS network_risk_score FROM nodes n LEFT JOIN
+@query("gr03_rank_weighted_risk", f"""SELECT n.id, {rnd('least(coalesce(x.m * 0.3::DOUBLE, 0), 100)', 4)} AS network_risk_score FROM nodes n LEFT JOIN
  (SELECT bag.id, sum(k.ml_risk_score * r.pagerank) / sum(r.pagerank) AS m FROM bag JOIN nodes k ON k.id = bag.neighbour AND k.node_type = 'Company' JOIN ranked r ON r.id = k.id GROUP BY bag.id) x ON n.id = x.id""")
 def _(t):
     nodes, edges = kept_graph(t)

@@ -6,7 +6,7 @@ from riskweave.catalog.base import query, rnd, rounded
 from riskweave.catalog.mart_queries import candidates
 from riskweave.operators import forest
 from riskweave.plans import scoring
-from riskweave.session import new_path
+from riskweave.session import cut_lineage, new_path
 from riskweave.sources.sinks import VersionedTable
 from riskweave.sources.tables import Tables
 from riskweave.streaming import jobs as J
@@ -54,13 +54,14 @@ def _(t):
 
 @query("ml09_scoring_job")
 def _(t):
-    from riskweave.catalog.graphs import conformity, graph
+    from riskweave.catalog.graphs import conformity
     from riskweave.operators import graph as G
     from riskweave.plans.fusion import final_scores
 
-    ml = scoring.anomaly_scores(trained(t), t.companies).persist()
-    nodes = G.build_nodes(G.company_nodes(t.companies, ml, ml), t.auditors, t.relationships)
-    edges = G.build_edges(nodes.where("node_type = 'Company'"), t.auditors, t.relationships)
+    ml = cut_lineage(scoring.anomaly_scores(trained(t), t.companies))
+    ties = cut_lineage(t.relationships)
+    companies = G.company_nodes(t.companies, ml, ml)
+    nodes, edges = G.build_nodes(companies, t.auditors, ties), G.build_edges(companies, t.auditors, ties)
     risk = G.neighbour_risk(nodes, edges).select(F.col("id").alias("cik"), "network_risk_score")
     return final_scores(ml, conformity(t), risk)
 

@@ -28,7 +28,12 @@ def guarded_ratio(n: Column | str, d: Column | str, default: float | None = None
 def clamp(c: Column | str, low: Column | float, high: Column | float) -> Column:
     lo = low if isinstance(low, Column) else F.lit(float(low))
     hi = high if isinstance(high, Column) else F.lit(float(high))
-    return F.greatest(F.least(col(c), hi), lo)
+    # least and greatest skip nulls, so a null has to be kept apart
+    return F.when(col(c).isNotNull(), F.greatest(F.least(col(c), hi), lo))
+
+
+def at_most(c: Column | str, high: float) -> Column:
+    return F.when(col(c).isNotNull(), F.least(col(c), F.lit(float(high))))
 
 
 def pad_cik(c: Column | str) -> Column:

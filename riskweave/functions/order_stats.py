@@ -22,9 +22,9 @@ def _monotone(c: Column) -> Column:
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """keys, metric, value -> cnt for every non-null value of the named columns."""
+    """keys, metric, value -> cnt for every value of the named columns that is a number."""
     cells = F.array(*[F.struct(F.lit(v).alias("metric"), F.col(v).cast("double").alias("value")) for v in values])
-    long = df.select(*keys, F.inline(cells)).where(F.col("value").isNotNull())
+    long = df.select(*keys, F.inline(cells)).where(F.col("value").isNotNull() & ~F.isnan("value"))
     # -0.0 and 0.0 are one value
     long = long.withColumn("value", F.when(F.col("value") == 0, F.lit(0.0)).otherwise(F.col("value")))
     return long.groupBy(*keys, "metric", "value").agg(F.count(F.lit(1)).alias("cnt"))
@@ -34,7 +34,7 @@ def with_positions(counts: DataFrame, keys: Sequence[str], ranges: int = RANGES)
     """Add `before` (rows with a smaller value) and `total` to a value-count table."""
     by = [*keys, "metric"]
     t = _monotone(F.col("value"))
-    counts = counts.persist()  # read three times below; a lost block is computed again
+    counts = cut_lineage(counts)  # read three times below
     span = counts.groupBy(*by).agg(F.min(t).alias("_lo"), F.max(t).alias("_hi"))
     cell = F.when(
         F.col("_hi") > F.col("_lo"),

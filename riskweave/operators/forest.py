@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from riskweave.functions.exprs import unit_noise
 from riskweave.functions.order_stats import percentiles
+from riskweave.session import cut_lineage
 
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, `left` int, `right` int, size int, depth int"
 EULER = 0.5772156649015329
@@ -92,7 +93,7 @@ def fit(features: DataFrame, columns: Sequence[str], key: str = "cik", trees: in
         out.insert(0, "tree", tree)
         return out
 
-    nodes = held.groupBy("tree").applyInPandas(grow, NODE_SCHEMA).persist()
+    nodes = cut_lineage(held.groupBy("tree").applyInPandas(grow, NODE_SCHEMA))
     return Forest(nodes, list(columns), size)
 
 

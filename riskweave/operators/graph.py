@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions import constants as K
-from riskweave.functions.exprs import count_if, lookup
+from riskweave.functions.exprs import at_most, count_if, lookup
 
 
 def company_nodes(companies: DataFrame, ml: DataFrame, rules: DataFrame) -> DataFrame:
@@ -81,7 +81,7 @@ def neighbour_risk(nodes: DataFrame, edges: DataFrame, weight: float = 0.3) -> D
     exact = F.sum(F.col("ml_risk_score").cast("decimal(20,4)")).cast("double") / F.count(F.lit(1))
     mean = neighbour_bag(edges).join(scored, "neighbour").groupBy("id").agg(exact.alias("_mean"))
     return nodes.join(mean, "id", "left").withColumn(
-        "network_risk_score", F.coalesce(F.least(F.col("_mean") * weight, F.lit(100.0)), F.lit(0.0))
+        "network_risk_score", F.coalesce(at_most(F.col("_mean") * weight, 100), F.lit(0.0))
     ).drop("_mean")
 
 
@@ -94,7 +94,7 @@ def rank_weighted_risk(nodes: DataFrame, edges: DataFrame, ranks: DataFrame, wei
         F.try_divide(F.sum(F.col("ml_risk_score") * F.col("pagerank")), F.sum("pagerank")).alias("_mean")
     )
     return nodes.join(mean, "id", "left").withColumn(
-        "network_risk_score", F.coalesce(F.least(F.col("_mean") * weight, F.lit(100.0)), F.lit(0.0))
+        "network_risk_score", F.coalesce(at_most(F.col("_mean") * weight, 100), F.lit(0.0))
     ).drop("_mean")
 
 

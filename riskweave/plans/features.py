@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions import constants as K
 from riskweave.functions.exprs import clamp
 from riskweave.functions.order_stats import percentile_row
+from riskweave.session import cut_lineage
 
 META = ["cik", "ticker", "company_name", "industry_group", "risk_tier", "pre_ml_risk_score"]
 
@@ -20,6 +21,12 @@ def available(df: DataFrame, wanted: Sequence[str] = K.FEATURES) -> tuple[list[s
     return [c for c in wanted if c in have], [c for c in wanted if c not in have]
 
 
+def _number(c: str) -> Column:
+    """The column as a double, with not-a-number as null."""
+    v = F.col(c).cast("double")
+    return F.when(~F.isnan(v), v)
+
+
 def build(candidates: DataFrame) -> DataFrame:
     """Counts: null -> 0. Ratios: null -> median, then clipped at the 1st and 99th percentile.
 
@@ -29,11 +36,12 @@ def build(candidates: DataFrame) -> DataFrame:
     present, _ = available(candidates)
     counts = [c for c in present if c in K.COUNT_FEATURES]
     ratios = [c for c in present if c not in counts]
-    base = candidates.select(
+    # one row per company, read by both statistics passes and the result
+    base = cut_lineage(candidates.select(
         *[c for c in META if c in candidates.columns],
-        *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in counts],
-        *[F.col(c).cast("double").alias(c) for c in ratios],
-    ).persist()  # one row per company, read by both statistics passes and the result
+        *[F.coalesce(_number(c), F.lit(0.0)).alias(c) for c in counts],
+        *[_number(c).alias(c) for c in ratios],
+    ))
     med = percentile_row(base, ratios, [0.5]).first()
     filled = base.withColumns({c: F.coalesce(F.col(c), F.lit(med[f"{c}_p0"])) for c in ratios})
     cut = percentile_row(filled, ratios, [0.01, 0.99]).first()

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.functions import constants as K
-from riskweave.functions.exprs import clamp, tier
+from riskweave.functions.exprs import at_most, clamp, tier
 from riskweave.functions.order_stats import mean_rank
 
 WIDE_FLAGS = K.FLAGS
@@ -25,7 +25,7 @@ def model_scores(decisions: DataFrame, companies: DataFrame) -> DataFrame:
         "cik", "ticker", "company_name", "industry_group",
         F.round("decision", 4).alias("isolation_forest_score"),
         F.round(pct, 1).alias("anomaly_percentile"),
-        F.round(F.least(F.lit(100.0), pct * 0.6 + F.coalesce("pre_ml_risk_score", F.lit(0.0)) * 0.4), 1).alias("ml_risk_score"),
+        F.round(at_most(pct * 0.6 + F.coalesce("pre_ml_risk_score", F.lit(0.0)) * 0.4, 100), 1).alias("ml_risk_score"),
         (F.col("decision") < 0).alias("is_anomaly"),
         F.coalesce("pre_ml_risk_score", F.lit(0.0)).alias("pre_ml_risk_score"),
         tier(F.coalesce("pre_ml_risk_score", F.lit(0.0))).alias("risk_tier"),

@@ -11,6 +11,7 @@ from riskweave.functions import constants as K
 from riskweave.operators import explain, forest
 from riskweave.plans import features as feats
 from riskweave.plans import fusion
+from riskweave.session import cut_lineage
 
 
 @dataclass
@@ -26,14 +27,14 @@ class Scored:
 
 def train(candidates: DataFrame, trees: int = 200, seed: int = 42, contamination: float = 0.10) -> Scored | None:
     """Fit and score; None for an empty input."""
-    matrix = feats.build(candidates).persist()
+    matrix = cut_lineage(feats.build(candidates))
     if matrix.isEmpty():
         return None
     fitted = feats.scaler(matrix, K.FEATURES)
     used = list(fitted)
-    scaled = feats.apply_scaler(matrix, fitted).persist()
+    scaled = cut_lineage(feats.apply_scaler(matrix, fitted))
     grown = forest.fit(scaled, used, trees=trees, seed=seed)
-    raw = forest.raw_scores(scaled, grown).persist()
+    raw = cut_lineage(forest.raw_scores(scaled, grown))
     model = forest.with_offset(raw, grown, contamination)
     judged = forest.decisions(raw, model).join(matrix.select("cik", "pre_ml_risk_score"), "cik")
     return Scored(matrix, scaled, fitted, model, judged)
