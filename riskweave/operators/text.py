@@ -160,6 +160,7 @@ def lexicon_scan(docs: DataFrame, risk: dict[str, list[str]] = K.RISK_PHRASES, p
 
     Phrases that contain each other count twice.
     """
+    docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
     low = docs.withColumn("_low", F.lower("text"))
     low = low.withColumns({f"_{c}": F.array(*_mentions(F.col("_low"), ps)) for c, ps in risk.items()})
     add = lambda a, x: a + x

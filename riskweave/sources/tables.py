@@ -14,6 +14,18 @@ from riskweave.functions.exprs import clamp, lookup, tier
 SECTORS = [*K.SECTOR_SIC, "Diversified"]
 
 
+# tables that carry the bulk of the work, and the column to spread them by
+WIDE_TABLES = {"lineitem": "l_orderkey", "documents": "doc_id"}
+
+
+def spread(df: DataFrame, column: str) -> DataFrame:
+    """Give every core a share of a table that lies in too few splits; a table of many files is read as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, column)
+
+
 def pick(values: list[str], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index % len(values) + 1).cast("int"))
 
@@ -30,7 +42,8 @@ class Tables:
         self.folder = folder.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread(df, WIDE_TABLES[name]) if name in WIDE_TABLES else df
 
     @cached_property
     def companies(self) -> DataFrame:
