@@ -159,7 +159,7 @@ def company_versions(t):
  CASE WHEN c_acctbal < 5000 THEN DATE '2021-01-01' ELSE DATE '2020-01-01' END AS updated_on FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def _(t):
     old, new = company_versions(t)
-    out = sinks.upsert(old, new, ["cik"], keep=["created_at"])
+    out = sinks.upsert_table("companies", old, new)
     return out.select("cik", "name", "sic_description", F.col("created_at").cast("date").alias("created_on"), F.col("updated_at").cast("date").alias("updated_on"))
 
 

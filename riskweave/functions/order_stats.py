@@ -116,9 +116,7 @@ def row_numbers(df: DataFrame, order: Sequence[Column], out: str, within: Sequen
     Rows are range-partitioned in the wanted order and written once, so the slices stay fixed;
     a slice needs only the sizes of the slices before it.
     """
-    spark = df.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    sliced = df.repartitionByRange(parts, *[F.col(k) for k in within], *order)
+    sliced = df.repartitionByRange(*[F.col(k) for k in within], *order)
     sliced = cut_lineage(sliced.withColumn("_slice", F.spark_partition_id()))
     group = [*within, "_slice"]
     sizes = sliced.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))

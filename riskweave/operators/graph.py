@@ -139,17 +139,25 @@ def auditor_groups(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def top_auditor_pairs(nodes: DataFrame, edges: DataFrame, n: int = 50) -> DataFrame:
     """The n client pairs of one auditor with the highest mean risk, exactly.
 
-    With clients ordered by (risk desc, id), a pair reaching past place n + 1 has at least n better
-    pairs in its own auditor, so only the first n + 1 clients of each auditor can matter.
+    With clients ordered by (risk desc, id), the pair of places i < j comes after every pair with
+    smaller or equal places. There are i * j - i * (i + 1) / 2 of those, itself included, so pairs
+    for which that number passes n cannot be among the first n and are never formed.
     """
     risk = nodes.where("node_type = 'Company'").select(F.col("id").alias("src"), "ticker", "ml_risk_score")
     clients = edges.where("edge_type = 'AUDITED_BY'").select("src", "dst").distinct().join(risk, "src")
     best = Window.partitionBy("dst").orderBy(F.desc("ml_risk_score"), "src")
-    few = clients.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= n + 1).drop("_n")
-    a = few.select("dst", F.col("src").alias("company_a"), F.col("ticker").alias("ticker_a"), F.col("ml_risk_score").alias("risk_a"))
-    b = few.select(F.col("dst").alias("_d"), F.col("src").alias("company_b"), F.col("ticker").alias("ticker_b"), F.col("ml_risk_score").alias("risk_b"))
+    few = clients.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= n + 1)
+    a = few.select("dst", F.col("_n").alias("_i"), F.col("src").alias("company_a"), F.col("ticker").alias("ticker_a"), F.col("ml_risk_score").alias("risk_a"))
+    b = few.select(F.col("dst").alias("_d"), F.col("_n").alias("_j"), F.col("src").alias("company_b"), F.col("ticker").alias("ticker_b"), F.col("ml_risk_score").alias("risk_b"))
     names = nodes.where("node_type = 'Auditor'").select(F.col("id").alias("dst"), F.col("name").alias("shared_auditor"))
-    joined = a.join(b, (F.col("dst") == F.col("_d")) & (F.col("company_a") < F.col("company_b")))
+    reach = F.col("_i") * F.col("_j") - F.col("_i") * (F.col("_i") + 1) / 2
+    joined = a.join(b, (F.col("dst") == F.col("_d")) & (F.col("_i") < F.col("_j")) & (reach <= n))
+    # the company of lower id stands first
+    flip = F.col("company_a") > F.col("company_b")
+    joined = joined.select("dst", *[
+        F.when(flip, F.col(y)).otherwise(F.col(x)).alias(x) if first else F.when(flip, F.col(x)).otherwise(F.col(y)).alias(y)
+        for x, y in (("company_a", "company_b"), ("ticker_a", "ticker_b"), ("risk_a", "risk_b")) for first in (True, False)
+    ])
     ranked = joined.withColumn("avg_risk", (F.col("risk_a") + F.col("risk_b")) / 2).orderBy(
         F.desc("avg_risk"), "company_a", "company_b", "dst"
     ).limit(n)

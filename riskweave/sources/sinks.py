@@ -40,6 +40,21 @@ def _merge(stacked: DataFrame, keys, order: Column, keep, update, columns) -> Da
     return merged.select(*[F.col(where.get(c, c)).alias(c) for c in columns])
 
 
+# Key, columns kept as first stored, and columns that alone may change, per table.
+UPSERT_RULES: dict[str, tuple[list[str], list[str], list[str] | None]] = {
+    "companies": (["cik"], ["created_at"], None),
+    "filings": (["accession_number"], ["ingested_at"], None),
+    "financial_facts": (["id"], [], ["value", "filed"]),
+    "financial_metrics": (["id"], ["cik", "period_end", "form"], None),
+    "ingestion_runs": (["id"], ["started_at"], None),
+}
+
+
+def upsert_table(name: str, existing: DataFrame, new: DataFrame) -> DataFrame:
+    keys, keep, update = UPSERT_RULES[name]
+    return upsert(existing, new, keys, keep, update)
+
+
 def insert_ignore(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Existing rows plus the new rows whose key is not there yet."""
     fresh = new.dropDuplicates(list(keys)).join(existing.select(*keys), list(keys), "left_anti")
@@ -84,18 +99,24 @@ def first_table(spark: SparkSession, names: Sequence[str], schema: str) -> DataF
     return spark.createDataFrame([], schema)
 
 
+# marks in the bucket column of a manifest
+REPLACED, MERGED = -1, -2
+
+
 class VersionedTable:
-    """A Parquet table replaced as a whole: readers see the old rows until the new ones are complete.
+    """A Parquet table kept in buckets of its key; readers see old rows until new ones are complete.
 
-    Each write goes to its own folder; a row in the manifest makes it current. A batch id that
-    is already in the manifest is not written again, so a replayed batch changes nothing.
+    Every write goes to a folder of its own and becomes current by rows in the manifest, one per
+    bucket. A merge reads and rewrites only the buckets its rows fall into. A batch id that is
+    already in the manifest is not written again, so a replayed batch changes nothing.
     """
 
-    MANIFEST = "version bigint, batch_id bigint, path string, written_at timestamp"
+    MANIFEST = "version bigint, batch_id bigint, bucket int, path string, written_at timestamp"
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 8):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.buckets = buckets
 
     def manifest(self) -> DataFrame:
         try:
@@ -103,24 +124,50 @@ class VersionedTable:
         except AnalysisException:
             return self.spark.createDataFrame([], self.MANIFEST)
 
-    def current(self):
-        return self.manifest().orderBy(F.desc("version")).first()
+    def current(self) -> dict[int, str]:
+        """Folder of each bucket; at most one entry per bucket reaches the driver."""
+        newest = self.manifest().groupBy("bucket").agg(F.max_by("path", "version").alias("path"), F.max("version").alias("version"))
+        rows = newest.collect()
+        whole = max((r["version"] for r in rows if r["bucket"] == REPLACED), default=0)
+        return {r["bucket"]: r["path"] for r in rows if r["bucket"] >= 0 and r["version"] > whole}
 
-    def read(self, schema: str | None = None) -> DataFrame | None:
+    def read(self, schema: str | None = None, buckets: Sequence[int] | None = None) -> DataFrame | None:
         now = self.current()
-        if now is None:
-            return self.spark.createDataFrame([], schema) if schema else None
-        return self.spark.read.parquet(now["path"])
-
-    def replace(self, df: DataFrame, batch_id: int | None = None) -> None:
-        if batch_id is not None and not self.manifest().where(F.col("batch_id") == batch_id).isEmpty():
+        paths = [p for b, p in now.items() if buckets is None or b in buckets]
+        if paths:
+            return self.spark.read.parquet(*paths)
+        return self.spark.createDataFrame([], schema) if schema else None
+
+    def replace(self, df: DataFrame, batch_id: int | None = None, keys: Sequence[str] = ()) -> None:
+        """All rows anew."""
+        if not self._seen(batch_id):
+            self._write(df, keys or df.columns, batch_id, whole=True)
+
+    def merge(self, new: DataFrame, keys: Sequence[str], keep: Sequence[str] = (), update: Sequence[str] | None = None, batch_id: int | None = None) -> None:
+        """Upsert of rows that are unique by key."""
+        if self._seen(batch_id):
             return
-        now = self.current()
-        version = 1 if now is None else now["version"] + 1
+        touched = [r[0] for r in new.select(self._bucket(keys)).distinct().collect()]
+        now = self.read(buckets=touched)
+        self._write(new if now is None else upsert(now, new, keys, keep, update), keys, batch_id, whole=False)
+
+    def _bucket(self, keys: Sequence[str]) -> Column:
+        return F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int").alias("_bucket")
+
+    def _seen(self, batch_id: int | None) -> bool:
+        return batch_id is not None and not self.manifest().where(F.col("batch_id") == batch_id).isEmpty()
+
+    def _write(self, df: DataFrame, keys: Sequence[str], batch_id: int | None, whole: bool) -> None:
+        version = (self.manifest().agg(F.max("version")).first()[0] or 0) + 2
         target = f"{self.path}/version-{version}"
-        df.write.mode("overwrite").parquet(target)
-        row = [(version, batch_id, target, datetime.now(timezone.utc))]
-        self.spark.createDataFrame(row, self.MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
+        df.withColumn("_bucket", self._bucket(keys)).write.mode("overwrite").partitionBy("_bucket").parquet(target)
+        # an empty write leaves no bucket folder
+        filled = self.spark.read.schema("_bucket int").parquet(target).select("_bucket").distinct().collect()
+        at = datetime.now(timezone.utc)
+        rows = [(version, batch_id, r[0], f"{target}/_bucket={r[0]}", at) for r in filled]
+        # a full replacement is marked one version before its buckets; any other write leaves a trace of its batch
+        rows.append((version - 1, batch_id, REPLACED if whole else MERGED, target, at))
+        self.spark.createDataFrame(rows, self.MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
 
 
 def run_states(events: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskweave.functions import constants as K
 from riskweave.functions.exprs import count_if, rate
 from riskweave.session import new_path
-from riskweave.sources.sinks import VersionedTable, upsert
+from riskweave.sources.sinks import VersionedTable
 
 
 def file_stream(spark: SparkSession, folder: str, glob: str, per_trigger: int | None = None) -> DataFrame:
@@ -56,8 +56,7 @@ def upsert_into(table: VersionedTable, keys: Sequence[str], keep: Sequence[str]
         if newest:
             rest = [c for c in batch.columns if c not in keys]
             rows = batch.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(newest, F.struct(*rest))).alias("_r")).select(*keys, "_r.*").select(*batch.columns)
-        now = table.read()
-        table.replace(rows if now is None else upsert(now, rows, keys, keep), batch_id)
+        table.merge(rows, keys, keep, batch_id=batch_id)
 
     return write
 
