@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskweave import schemas as S
+
 
 def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str], keep: Sequence[str] = (), update: Sequence[str] | None = None) -> DataFrame:
     """Existing rows overwritten by new rows of the same key.
@@ -170,6 +172,12 @@ class VersionedTable:
         self.spark.createDataFrame(rows, self.MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
 
 
+def run_row(spark: SparkSession, run_id: str, at: datetime, status: str = "running", companies: int = 0, filings: int = 0, facts: int = 0, error: str | None = None) -> DataFrame:
+    """Ledger row of a run; merged by id under the rules of `ingestion_runs`, the start stays and the rest follows."""
+    ended = at if status in ("completed", "failed") else None
+    return spark.createDataFrame([(run_id, at, ended, status, companies, filings, facts, error)], S.RUNS)
+
+
 def run_states(events: DataFrame) -> DataFrame:
     """Latest state per run from its status events (id, at, status, seq); the start stays."""
     return events.groupBy("id").agg(

@@ -8,8 +8,11 @@ from riskweave.functions.exprs import tier
 from riskweave.operators import governance as A
 from riskweave.operators import monitoring as M
 from riskweave.operators import quality as Q
+from riskweave.operators.facts import period_metrics
+from riskweave.operators.first_digit import digit_counts
 from riskweave.plans import fusion
 from riskweave.plans import reports as R
+from riskweave.plans.saved import SAVED
 
 
 def scores(spark, items):
@@ -81,6 +84,37 @@ def test_audit_log_is_append_only(spark):
     assert both.count() == 2 and len(log.first()["data_hash"]) == 16
 
 
+def test_saved_queries():
+    assert len(SAVED) == 9
+
+
+def test_saved_queries_run(spark):
+    from riskweave.catalog.governance_queries import effects
+    from riskweave.operators.first_digit import company_conformity
+    from riskweave.sources.tables import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    frames = {"scores": t.scored, "audit": t.audit, "conformity": company_conformity(t.facts, t.companies), "attributions": effects(t)}
+    for run in SAVED.values():
+        assert run(frames, dt.datetime(2024, 1, 31)).columns
+
+
+def test_one_company_with_a_third_of_all_facts(spark):
+    """A hot company changes neither the periods nor the digits of any company."""
+    n = 9000
+    rows = spark.range(n).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('c', id % 50) END AS cik", "'Revenues' AS concept", "'USD' AS unit",
+        "date_add(date'2020-12-31', CAST(id % 7 AS int)) AS period_end", "date_add(date'2021-01-01', CAST(id % 97 AS int)) AS filed",
+        "CAST(id AS string) AS accession_number", "'10-K' AS form", "CAST(1 + id % 900 AS double) AS value")
+    pdf = rows.toPandas()
+    got = period_metrics(rows).toPandas()
+    want = pdf.sort_values(["filed", "accession_number", "value"]).groupby(["cik", "period_end", "form"])["value"].last()
+    assert got.set_index(["cik", "period_end", "form"])["revenues"].sort_index().tolist() == want.sort_index().tolist()
+    counts = digit_counts(rows, ["cik"]).toPandas().set_index("cik")
+    assert counts.loc["hot", "n"] == n // 3 and counts["n"].sum() == n
+    assert counts["c7"].to_dict() == pdf[pdf["value"].astype(int).astype(str).str[0] == "7"].groupby("cik").size().reindex(counts.index, fill_value=0).to_dict()
+
+
 def test_freshness(spark):
     runs = spark.createDataFrame([("r", dt.datetime(2024, 1, 1, 12), "completed")], "id string, started_at timestamp, status string")
     assert Q.freshness(runs, dt.datetime(2024, 1, 9, 11)).first()["status"] == "OK"

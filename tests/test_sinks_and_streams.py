@@ -60,6 +60,13 @@ def test_run_ledger(spark):
     assert sinks.last_runs(sinks.run_states(ev), 1).first()["id"] == "s"
 
 
+def test_run_goes_from_running_to_failed(spark):
+    start, end = dt.datetime(2024, 1, 1, 1), dt.datetime(2024, 1, 1, 2)
+    out = sinks.upsert_table("ingestion_runs", sinks.run_row(spark, "r", start), sinks.run_row(spark, "r", end, "failed", 3, 2, 1, "no file"))
+    row = out.first()
+    assert (row["started_at"], row["completed_at"], row["status"], row["companies_processed"], row["error_message"]) == (start, end, "failed", 3, "no file")
+
+
 def test_companies_csv_variants(spark, tmp_path):
     (tmp_path / "a.csv").write_text("Symbol,Security,GICS Sector,CIK\nAAA,Acme,Energy,320193\nBBB,Beta,Odd,\n")
     got = rows(files.companies_csv(spark, str(tmp_path / "a.csv")), "ticker", "name", "cik", "sic_code")
