@@ -63,10 +63,6 @@ def insert_ignore(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> D
     return existing.unionByName(fresh)
 
 
-def new_rows(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return new.join(existing.select(*keys).distinct(), list(keys), "left_anti")
-
-
 def stack(frames: dict[str, DataFrame]) -> DataFrame:
     """Frames of unequal shape under each other, missing columns as null."""
     out: DataFrame | None = None

@@ -16,12 +16,13 @@ SECTORS = [*K.SECTOR_SIC, "Diversified"]
 
 # tables that carry the bulk of the work, and the column to spread them by
 WIDE_TABLES = {"lineitem": "l_orderkey", "documents": "doc_id"}
+FEW_SPLITS = 16
 
 
 def spread(df: DataFrame, column: str) -> DataFrame:
     """Give every core a share of a table that lies in too few splits; a table of many files is read as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() >= min(cores, FEW_SPLITS):
         return df
     return df.repartition(cores, column)
 

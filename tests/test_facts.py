@@ -71,6 +71,13 @@ def test_profile_of_a_sparse_document(spark):
     assert (row["name"], row["ticker"], row["exchanges"]) == ("Acme", None, None)
 
 
+def test_landed_files_are_read_whole(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.json").write_text('{"name": "' + name + '",\n "tickers": ["T"]}')
+    rows = nested.read_documents(spark, str(tmp_path)).select(F.regexp_extract("path", r"(\w+)\.json", 1).alias("cik"), "body")
+    assert {(r["cik"], r["name"], r["ticker"]) for r in nested.company_profiles(rows).collect()} == {("a", "a", "T"), ("b", "b", "T")}
+
+
 def test_auditors_and_relationships(spark):
     a = json.dumps({"320193": {"auditor": "EY", "auditor_id": "AUD_EY", "audit_opinion": "Unqualified", "audit_fee_millions": 20.1}})
     assert nested.auditor_rows(docs(spark, a)).first()["cik"] == "0000320193"
