@@ -211,9 +211,9 @@ def _(t):
 # --- price series -------------------------------------------------------------------------------
 
 CTES["annual"] = f"""
-SELECT ticker, year(date) AS year, max(date) AS period_end_raw, avg(close) AS avg_close, CAST(sum(volume) AS BIGINT) AS total_volume,
+SELECT ticker, year(date) AS year, max(date) AS period_end_raw, CAST(sum(CAST(close AS DECIMAL(28,8))) AS DOUBLE) / count(close) AS avg_close, CAST(sum(volume) AS BIGINT) AS total_volume,
   first(open ORDER BY date, seq) FILTER (open IS NOT NULL) AS open_price, last(close ORDER BY date, seq) AS close_price, count(close) AS trading_days,
-  avg(close) * sum(volume) / 1e3 AS revenues FROM t_prices GROUP BY 1, 2"""
+  CAST(sum(CAST(close AS DECIMAL(28,8))) AS DOUBLE) / count(close) * sum(volume) / 1e3 AS revenues FROM t_prices GROUP BY 1, 2"""
 
 
 @query("ag01_annual_prices", f"SELECT ticker, year, period_end_raw, {_r(['avg_close', 'open_price', 'close_price'])}, total_volume, trading_days, {rnd('revenues', 2)} AS revenues FROM annual")

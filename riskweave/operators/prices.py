@@ -12,9 +12,11 @@ from riskweave.functions.exprs import safe_divide, strict_key, unit_noise
 def annual_prices(prices: DataFrame) -> DataFrame:
     """Ticker-years: last day, mean close, volume, first open and last close that are not null."""
     at = F.struct("date", "seq")
+    # closes are added as decimals, so the mean is the same in whatever order the rows come
+    mean = F.sum(F.col("close").cast("decimal(28,8)")).cast("double") / F.count("close")
     return prices.groupBy("ticker", F.year("date").alias("year")).agg(
         F.max("date").alias("period_end_raw"),
-        F.avg("close").alias("avg_close"),
+        mean.alias("avg_close"),
         F.sum("volume").alias("total_volume"),
         F.min_by("open", F.when(F.col("open").isNotNull(), at)).alias("open_price"),
         F.max_by("close", F.when(F.col("close").isNotNull(), at)).alias("close_price"),

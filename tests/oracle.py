@@ -58,8 +58,9 @@ def compare(spark, con, name, queries, oracle, folder):
         odd = [f"{f.name}:{f.dataType.simpleString()}/{kinds[f.name]}" for f in df.schema
                if (f.dataType.simpleString(), kinds[f.name]) not in SAME]
         return ("ok" if rows else "EMPTY"), len(rows), took, " ".join(odd)
-    only_a = [r for r in mine if r not in set(theirs)][:2]
-    only_b = [r for r in theirs if r not in set(mine)][:2]
+    have_a, have_b = set(mine), set(theirs)
+    only_a = [r for r in mine if r not in have_b][:2]
+    only_b = [r for r in theirs if r not in have_a][:2]
     return "DIFF", len(rows), took, f"spark {len(mine)} sql {len(theirs)}\n   cols {sorted(columns)}\n   spark {only_a}\n   sql   {only_b}"
 
 
