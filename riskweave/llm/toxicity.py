@@ -21,6 +21,8 @@ from riskweave.llm.common import held_out
 POSITIVES = 4000  # confirmed texts to learn from, those of the smallest hash of their identifier
 UNLABELLED = 8000
 LEAST_TEXTS = 3  # confirmed texts that a word must occur in to be a feature
+LEAST_EXCESS = 4.0  # standard errors by which it must be more frequent there than in unlabelled texts
+PREFIXES = (4, 5, 6, 7)  # bytes of the beginnings of words that are features beside the words
 THRESHOLD = 0.3
 ROUNDS = 400
 STEP = 0.05
@@ -29,7 +31,7 @@ DECAY = 1e-3
 
 @dataclass
 class ToxicModel:
-    words: np.ndarray  # sorted hashes
+    words: np.ndarray  # sorted hashes of features
     weights: np.ndarray
     bias: float
 
@@ -38,11 +40,26 @@ def _cut(column: pa.Array) -> W.Words:
     return W.cut(pc.utf8_lower(column), W.LETTERS, lower=False)
 
 
+def _features(words: W.Words) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of the words and of their beginnings, each with the numbers of their words."""
+    out = [(words.hash, np.arange(len(words.hash)))]
+    for n in PREFIXES:
+        longer = np.flatnonzero(words.end - words.start > n)
+        start = words.start[longer]
+        out.append((W.mix(W.hash_words(words.data, start, start + n) + np.uint64(n)), longer))
+    return out
+
+
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi in W.slices(batch.column("text")):
             words = _cut(batch.column("text")[lo:hi])
-            bags = [np.unique(words.hash[a:b]).tobytes() for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
+            text = words.text_of_word()
+            found = _features(words)
+            flat, owner = np.concatenate([h for h, _ in found]), np.concatenate([text[i] for _, i in found])
+            order = np.argsort(owner, kind="stable")
+            flat, first = flat[order], np.searchsorted(owner[order], np.arange(hi - lo + 1))
+            bags = [np.unique(flat[a:b]).tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("positive")[lo:hi], pa.array(bags, pa.binary())], names=["positive", "bag"])
 
 
@@ -99,14 +116,23 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
         return None
     sizes = [len(b) for b in bags]
     flat, owner = np.concatenate(bags), np.repeat(np.arange(len(bags)), sizes)
-    seen, counts = np.unique(flat[positive[owner]], return_counts=True)
-    vocabulary = seen[counts >= LEAST_TEXTS]
+    vocabulary = telling_words(flat, positive[owner], int(positive.sum()), int((~positive).sum()))
     at = np.searchsorted(vocabulary, flat)
     hit = vocabulary[np.minimum(at, max(len(vocabulary) - 1, 0))] == flat if len(vocabulary) else np.zeros(len(flat), bool)
     weights, bias = nnpu(owner[hit], at[hit], positive, len(vocabulary), prior)
     return ToxicModel(vocabulary, weights, bias)
 
 
+def telling_words(words: np.ndarray, positive: np.ndarray, n_positive: int, n_unlabelled: int) -> np.ndarray:
+    """Sorted words that occur in clearly more of the confirmed texts than of the unlabelled ones."""
+    seen, back = np.unique(words, return_inverse=True)
+    a, b = np.bincount(back[positive], minlength=len(seen)), np.bincount(back[~positive], minlength=len(seen))
+    p, u = a / n_positive, b / n_unlabelled
+    both = (a + b) / (n_positive + n_unlabelled)
+    error = np.sqrt(both * (1 - both) * (1 / n_positive + 1 / n_unlabelled))
+    return seen[(a >= LEAST_TEXTS) & (p - u > LEAST_EXCESS * error)]
+
+
 def hash_of(raw: bytes) -> int:
     values = np.frombuffer(raw, np.uint64)
     return int(W.mix(np.append(values, np.uint64(len(values)))).sum(dtype=np.uint64))
@@ -120,9 +146,12 @@ def _score(shared):
                 words = _cut(batch.column("text")[lo:hi])
                 total = np.full(hi - lo, model.bias)
                 if len(model.words) and len(words.hash):
-                    at = np.minimum(np.searchsorted(model.words, words.hash), len(model.words) - 1)
-                    hit = np.flatnonzero(model.words[at] == words.hash)
-                    pairs = np.unique(np.stack([words.text_of_word()[hit], at[hit]], axis=1), axis=0)  # a word counts once in a text
+                    text, pairs = words.text_of_word(), []
+                    for h, i in _features(words):
+                        at = np.minimum(np.searchsorted(model.words, h), len(model.words) - 1)
+                        hit = np.flatnonzero(model.words[at] == h)
+                        pairs.append(np.stack([text[i[hit]], at[hit]], axis=1))
+                    pairs = np.unique(np.concatenate(pairs), axis=0)  # a feature counts once in a text
                     total += np.bincount(pairs[:, 0], weights=model.weights[pairs[:, 1]], minlength=hi - lo)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id")[lo:hi], pa.array(1 / (1 + np.exp(-np.clip(total, -40, 40))))], names=["doc_id", "score"])
 
