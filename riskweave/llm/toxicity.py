@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from riskweave.llm import words as W
 from riskweave.llm.common import held_out
 
-POSITIVES = 4000  # confirmed texts to learn from, those of the smallest hash of their identifier
-UNLABELLED = 8000
+POSITIVES = 2500  # confirmed texts to learn from, those of the smallest hash of their identifier
+UNLABELLED = 5000
 LEAST_TEXTS = 3  # confirmed texts that a word must occur in to be a feature
 LEAST_EXCESS = 4.0  # standard errors by which it must be more frequent there than in unlabelled texts
 PREFIXES = (4, 5, 6, 7)  # bytes of the beginnings of words that are features beside the words
