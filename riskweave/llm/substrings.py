@@ -1,14 +1,14 @@
 """Repeated passages, found with suffix automata of reference shards.
 
-A passage of 20 words holds an anchor: the smallest eight-word hash among its thirteen. Anchors that occur more than
-once carry their surroundings to the shard of their hash, so every occurrence of a passage meets in one shard. A shard
-builds a suffix automaton of its distinct surroundings in order of their first place; streaming them through it gives,
-for each end position, the longest match and the place where it first occurs. Passages that first occur earlier are
-removed.
+Every passage of 20 words has one anchor, the smallest six-word hash among its fifteen. The passages of a text that share
+an anchor go with it, as one stretch of words, to the shard of the anchor's hash, so all occurrences of a passage meet in
+one shard. There the stretches of an anchor are streamed, in order of their places, through a suffix automaton of those
+before them: for each word it gives the longest match that ends there and where that first occurred. A stretch that holds
+anything new is then added. Passages that first occur earlier are removed.
 
 Automata are built where their shard lies and are not broadcast: every document against every shard would grow with the
-square of the corpus. Their size is bounded: a shard has about SHARD_TEXTS distinct surroundings, and an anchor with more
-than ANCHOR_TEXTS of them is dealt by single passages instead.
+square of the corpus. Their size is bounded: an anchor that occurs more than ANCHOR_STRETCHES times has its passages dealt
+by their own 128-bit hash instead, with the first place of each as a minimum that Spark combines before the shuffle.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,9 +26,9 @@ from riskweave.llm import words as W
 from riskweave.llm.common import cut_lineage, int64s
 
 LENGTH = 20
-GRAM = 8
-SHARD_TEXTS = 3000  # distinct surroundings in one automaton, 32 words each
-ANCHOR_TEXTS = 500  # distinct surroundings of one anchor that stay together
+GRAM = 6
+SHARD_STRETCHES = 8000  # stretches that meet in one shard, about
+ANCHOR_STRETCHES = 2000
 FIRST_ID = -(1 << 63)  # a null doc_id comes before all others
 
 
@@ -116,57 +117,108 @@ def _anchors(length: int, gram: int):
                 h, fits = W.grams(words, gram)
                 at = W.winnow(h, fits, length - gram + 1)
                 text = np.searchsorted(words.first, at, side="right") - 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[lo + text]), pa.array(h[at].view(np.int64)), pa.array((at - words.first[text]).astype(np.int32))], schema=schema
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(keys[lo + text]), pa.array(h[at].view(np.int64)), pa.array((at - words.first[text]).astype(np.int32))], schema=schema)
 
     return run
 
 
-def _surroundings(length: int, gram: int):
-    schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("anchor", pa.int64()), ("start", pa.int64()), ("around", pa.binary()), ("code", pa.binary())])
-    before, after = length - gram, length
+_PLACE = np.dtype([("anchor", "<i8"), ("key", "<i8"), ("doc_id", "<i8"), ("start", "<i8")])
+
+
+def _stretches(batch: pa.RecordBatch, length: int, gram: int, frequent: bool) -> Iterator[tuple[W.Words, np.ndarray, np.ndarray, np.ndarray]]:
+    """Words of each slice; places of its repeated anchors' stretches; their first words and ends in the slice."""
+    keys, ids = int64s(batch.column("key")), int64s(batch.column("doc_id"))
+    found = batch.column("found")
+    for lo, hi in W.slices(batch.column("text")):
+        words = W.cut(batch.column("text")[lo:hi], W.NOT_SPACE, lower=False)
+        h, fits = W.grams(words, gram)
+        at, first, last = W.winnow_runs(h, fits, length - gram + 1)
+        part = found[lo:hi]
+        listed = part.flatten()
+        texts = np.repeat(np.arange(hi - lo), np.array([len(f) for f in part], np.int64))
+        wanted = words.first[texts] + listed.field("at").to_numpy()
+        wanted = wanted[listed.field("frequent").to_numpy(zero_copy_only=False) == frequent]
+        picked = np.searchsorted(at, np.sort(wanted))
+        text = np.searchsorted(words.first, at[picked], side="right") - 1
+        places = np.zeros(len(picked), _PLACE)
+        places["anchor"], places["key"], places["doc_id"] = h[at[picked]].view(np.int64), keys[lo + text], ids[lo + text]
+        places["start"] = first[picked] - words.first[text]
+        yield words, places, first[picked], last[picked] + length
+
+
+def _join_words(words: W.Words, data: bytes, lo: int, hi: int) -> bytes:
+    return b" ".join([data[s:e] for s, e in zip(words.start[lo:hi].tolist(), words.end[lo:hi].tolist(), strict=True)])
+
+
+def _pack(length: int, gram: int, shards: int):
+    """Stretches of anchors that are not frequent, packed by shard."""
+    schema = pa.schema([("shard", pa.int32()), ("places", pa.binary()), ("texts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            keys, ids, found = int64s(batch.column("key")), int64s(batch.column("doc_id")), batch.column("found")
-            for lo, hi in W.slices(batch.column("text")):
-                words = W.cut(batch.column("text")[lo:hi], W.NOT_SPACE, lower=False)
+            parts, texts = [], []
+            for words, places, lo, hi in _stretches(batch, length, gram, False):
                 data = words.data.tobytes()
-                out = {name: [] for name in schema.names}
-                for row in range(lo, hi):
-                    first, stop = int(words.first[row - lo]), int(words.first[row - lo + 1])
-                    for f in found[row].as_py():
-                        a, b = max(first, first + f["at"] - before), min(stop, first + f["at"] + after)
-                        around = b" ".join([data[s:e] for s, e in zip(words.start[a:b].tolist(), words.end[a:b].tolist(), strict=True)])
-                        for name, value in zip(schema.names, (int(keys[row]), int(ids[row]), f["anchor"], a - first, around, hashlib.blake2b(around, digest_size=16).digest()), strict=True):
-                            out[name].append(value)
-                yield pa.RecordBatch.from_pydict(out, schema)
+                parts.append(places)
+                texts += [_join_words(words, data, a, b) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
+            places = np.concatenate(parts) if parts else np.zeros(0, _PLACE)
+            shard = (W.mix(places["anchor"].view(np.uint64)) % np.uint64(shards)).astype(np.int64)
+            order = np.argsort(shard, kind="stable")
+            bounds = np.flatnonzero(np.diff(shard[order], prepend=-1, append=-1))
+            rows = []
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                some = order[a:b]
+                rows.append({"shard": int(shard[some[0]]), "places": places[some].tobytes(), "texts": packer.compress(b"\n".join([texts[i] for i in some.tolist()]))})
+            yield pa.RecordBatch.from_pylist(rows, schema)
 
     return run
 
 
-_PLACE = pa.struct([("doc_id", pa.int64()), ("start", pa.int64())])
-_FIRSTS = pa.schema([("code", pa.binary()), ("firsts", pa.list_(_PLACE))])
+def earlier_passages(stretches: list[list[bytes]], places: list[tuple], length: int) -> Iterator[list[int]]:
+    """For stretches of words in the order of their places (identifier, start): the passages that start earlier, as offsets."""
+    automaton, known = SuffixAutomaton(), {}
+    for words, (doc_id, start) in zip(stretches, places, strict=True):
+        text = tuple(words)
+        if text in known:  # an earlier stretch of the same words
+            yield list(range(len(words) - length + 1)) if known[text] < (doc_id, start) else []
+            continue
+        known[text] = (doc_id, start)
+        out, new = [], False
+        for i, (n, first) in enumerate(automaton.statistics(words, length)):
+            if i >= length - 1:
+                if n < length:
+                    new = True
+                else:
+                    (first_id, first_start), ends = first
+                    if (first_id, first_start + ends - length) < (doc_id, start + i - length + 1):
+                        out.append(i - length + 1)
+        if new:
+            automaton.add(words, (doc_id, start))
+        yield out
 
 
 def _match_shards(length: int):
-    """Rows of one shard at a time, by place: build the automaton, then stream the same sequences through it."""
-
-    def flush(sequences: list[tuple[bytes, list[bytes], tuple[int, int]]]) -> pa.RecordBatch:
-        automaton = SuffixAutomaton()
-        for _, words, place in sequences:
-            automaton.add(words, place)
-        rows = []
-        for code, words, _ in sequences:
-            firsts = []
-            for i, (n, first) in enumerate(automaton.statistics(words, length)):
-                if i >= length - 1:
-                    assert n == length  # the sequence itself is in the automaton
-                    (doc_id, start), ends = first
-                    firsts.append({"doc_id": doc_id, "start": start + ends - length})
-            rows.append({"code": code, "firsts": firsts})
-        return pa.RecordBatch.from_pylist(rows, _FIRSTS)
+    """Rows of one shard at a time; per stretch with earlier passages its key and where they start."""
+    schema = pa.schema([("key", pa.int64()), ("starts", pa.list_(pa.int64()))])
+
+    def flush(rows: list[dict]) -> pa.RecordBatch:
+        unpacker = zstandard.ZstdDecompressor()
+        places = np.concatenate([np.frombuffer(r["places"], _PLACE) for r in rows])
+        texts = [t for r in rows for t in unpacker.decompress(r["texts"]).split(b"\n")]
+        order = np.lexsort((places["start"], places["doc_id"], places["anchor"]))
+        places = places[order]
+        bounds = np.flatnonzero(np.diff(places["anchor"], prepend=places["anchor"][:1] - 1, append=places["anchor"][-1:] + 1))
+        keys, starts = [], []
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            some = places[a:b]
+            stretches = [texts[i].split(b" ") for i in order[a:b].tolist()]
+            where = list(zip(some["doc_id"].tolist(), some["start"].tolist(), strict=True))
+            for key, (_, start), hit in zip(some["key"].tolist(), where, earlier_passages(stretches, where, length), strict=True):
+                if hit:
+                    keys.append(key)
+                    starts.append([start + i for i in hit])
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(starts, pa.list_(pa.int64()))], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, held = None, []
@@ -176,13 +228,33 @@ def _match_shards(length: int):
                     yield flush(held)
                     held = []
                 shard = r["shard"]
-                held.append((r["code"], r["around"].split(b" "), (r["place"]["doc_id"], r["place"]["start"])))
+                held.append(r)
         if held:
             yield flush(held)
 
     return run
 
 
+def _single_passages(length: int, gram: int):
+    """Each passage of frequent anchors by its hash."""
+    schema = pa.schema([("code", pa.binary()), ("key", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words, places, lo, hi in _stretches(batch, length, gram, True):
+                data = words.data.tobytes()
+                counts = hi - lo - length + 1
+                which = np.repeat(np.arange(len(places)), counts)
+                inside = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
+                at = lo[which] + inside
+                codes = [hashlib.blake2b(_join_words(words, data, a, a + length), digest_size=16).digest() for a in at.tolist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(codes, pa.binary()), pa.array(places["key"][which]), pa.array(places["doc_id"][which]), pa.array(places["start"][which] + inside)], schema=schema
+                )
+
+    return run
+
+
 def _cut_out(length: int, with_text: bool):
     names = ["doc_id", "unnamed", "n_words", "n_removed", "kept_sha256", "spans", *(["kept_text"] if with_text else [])]
 
@@ -240,33 +312,20 @@ def _cut_out(length: int, with_text: bool):
     return run
 
 
-def _single_passages(around: DataFrame, length: int) -> DataFrame:
-    """The passages of surroundings, each a row of its own that goes by its own text."""
-    words = F.split(F.col("around").cast("string"), " ")
-    rows = around.withColumn("words", words).withColumn("i", F.explode(F.sequence(F.lit(0), F.size("words") - length)))
-    rows = rows.withColumns({"start": F.col("start") + F.col("i"), "around": F.concat_ws(" ", F.slice("words", F.col("i") + 1, F.lit(length))).cast("binary")})
-    return rows.withColumn("code", F.unhex(F.sha2("around", 256))).withColumn("anchor", F.xxhash64("code")).select(*around.columns)
-
-
 def repeated_starts(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(key, starts): where a passage of `length` words starts that also starts earlier."""
     anchors = keyed.select("key", "text").mapInArrow(_anchors(length, gram), "key long, anchor long, at int")
-    repeated = anchors.groupBy("anchor").count().filter("count > 1").select("anchor")
-    found = anchors.join(repeated, "anchor").groupBy("key").agg(F.collect_set(F.struct("anchor", "at")).alias("found"))
-    rows = keyed.select("key", "doc_id", "text").join(found, "key")
-    around = cut_lineage(rows.mapInArrow(_surroundings(length, gram), "key long, doc_id long, anchor long, start long, around binary, code binary"))
-    many = around.groupBy("anchor", "code").agg(F.lit(1).alias("one")).groupBy("anchor").count().filter(F.col("count") > ANCHOR_TEXTS).select("anchor")
-    many = cut_lineage(many)
-    if many.limit(1).count():
-        around = cut_lineage(around.join(many, "anchor", "left_anti").select(*around.columns).union(_single_passages(around.join(many, "anchor", "left_semi").select(*around.columns), length)))
-    distinct = cut_lineage(around.groupBy("code").agg(F.min(F.struct("doc_id", "start")).alias("place"), F.first("around").alias("around"), F.first("anchor").alias("anchor")))
-    shards = max(1, -(-distinct.count() // SHARD_TEXTS))
-    placed = distinct.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).select("shard", "place", "code", "around")
-    met = placed.repartition(shards, "shard").sortWithinPartitions("shard", "place")
-    firsts = met.mapInArrow(_match_shards(length), "code binary, firsts array<struct<doc_id:long,start:long>>")
-    earlier = F.filter(F.transform("firsts", lambda f, i: F.when(f < F.struct(F.col("doc_id"), (F.col("start") + i).alias("start")), F.col("start") + i)), lambda s: s.isNotNull())
-    hits = around.select("key", "doc_id", "code", "start").join(firsts, "code").select("key", earlier.alias("starts"))
-    return hits.filter(F.size("starts") > 0).groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"))
+    repeated = cut_lineage(anchors.groupBy("anchor").count().filter("count > 1").select("anchor", "count"))
+    shards = max(1, -(-(repeated.agg(F.sum("count")).first()[0] or 0) // SHARD_STRETCHES))
+    found = anchors.join(repeated, "anchor").groupBy("key").agg(F.collect_list(F.struct("at", (F.col("count") > ANCHOR_STRETCHES).alias("frequent"))).alias("found"))
+    rows = keyed.join(found, "key").select("key", "doc_id", "text", "found")
+    packed = rows.mapInArrow(_pack(length, gram, shards), "shard int, places binary, texts binary")
+    met = packed.repartition(shards, "shard").sortWithinPartitions("shard")
+    starts = met.mapInArrow(_match_shards(length), "key long, starts array<long>")
+    single = rows.filter(F.exists("found", lambda f: f["frequent"])).mapInArrow(_single_passages(length, gram), "code binary, key long, doc_id long, start long")
+    first = single.groupBy("code").agg(F.min(F.struct("doc_id", "start")).alias("first"))
+    later = single.join(first, "code").filter(F.struct("doc_id", "start") > F.col("first")).groupBy("key").agg(F.collect_list("start").alias("starts"))
+    return starts.union(later).groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"))
 
 
 def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:

@@ -26,8 +26,8 @@ END_ID = 2
 MAGIC = b"RWTOKIX1"
 BUCKET_KEYS = 4  # mean keys of one displacement
 READ_BYTES = 8 << 20
-CACHE_WORDS = 3_000_000  # distinct words whose ids one worker keeps
-SHARD_ROWS = 20_000  # about as many documents to a shard
+CACHE_WORDS = 2_000_000  # distinct words whose ids one worker keeps
+SHARD_ROWS = 5_000  # about as many documents to a shard
 
 _RECORD = np.dtype([("fingerprint", "<u8"), ("doc_id", "<i8"), ("named", "u1"), ("first", "<i8"), ("count", "<i8")])
 

@@ -149,13 +149,22 @@ def winnow(h: np.ndarray, fits: np.ndarray, window: int) -> np.ndarray:
 
     `fits` marks positions that hold a gram; a run must consist of such positions only.
     """
+    return winnow_runs(h, fits, window)[0]
+
+
+def winnow_runs(h: np.ndarray, fits: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As `winnow`, with the first and the last run that each position wins; every run has one winner."""
     if len(h) < window:
-        return np.zeros(0, np.int64)
+        none = np.zeros(0, np.int64)
+        return none, none, none
     whole = np.cumsum(np.concatenate([[0], fits]))
     runs = np.flatnonzero(whole[window:] - whole[:-window] == window)
-    picked = np.zeros(len(h), bool)
+    winner = np.empty(len(runs), np.int64)
     view = np.lib.stride_tricks.sliding_window_view(h, window)
     for at in range(0, len(runs), 1 << 17):
         part = runs[at : at + (1 << 17)]
-        picked[part + view[part].argmin(axis=1)] = True
-    return np.flatnonzero(picked)
+        winner[at : at + (1 << 17)] = part + view[part].argmin(axis=1)
+    # the runs of one winner follow one another
+    first = np.flatnonzero(np.diff(winner, prepend=-1))
+    last = np.append(first[1:], len(runs)) - 1 if len(first) else first
+    return winner[first], runs[first], runs[last]
