@@ -21,6 +21,7 @@ _STATE = {
     "spark__sql__streaming__stateStore__rocksdb__boundedMemoryUsage": "true",
     "spark__sql__streaming__stateStore__rocksdb__maxMemoryUsageMB": "200",
     "spark__sql__streaming__stateStore__rocksdb__writeBufferSizeMB": "4",
+    "spark__sql__streaming__stateStore__rocksdb__allowFAllocate": "false",  # else each partition reserves megabytes
 }
 
 
