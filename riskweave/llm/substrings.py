@@ -28,7 +28,7 @@ from riskweave.llm.common import cut_lineage, int64s
 LENGTH = 20
 GRAM = 6
 SHARD_STRETCHES = 8000  # stretches that meet in one shard, about
-ANCHOR_STRETCHES = 2000
+ANCHOR_STRETCHES = 20_000  # at worst some 300 MB of automaton, if all differ throughout
 FIRST_ID = -(1 << 63)  # a null doc_id comes before all others
 
 
@@ -134,10 +134,10 @@ def _stretches(batch: pa.RecordBatch, length: int, gram: int, frequent: bool) ->
         h, fits = W.grams(words, gram)
         at, first, last = W.winnow_runs(h, fits, length - gram + 1)
         part = found[lo:hi]
-        listed = part.flatten()
         texts = np.repeat(np.arange(hi - lo), np.array([len(f) for f in part], np.int64))
-        wanted = words.first[texts] + listed.field("at").to_numpy()
-        wanted = wanted[listed.field("frequent").to_numpy(zero_copy_only=False) == frequent]
+        where = part.flatten().to_numpy().astype(np.int64)  # the complement of the position if the anchor is frequent
+        mine = (where < 0) == frequent
+        wanted = words.first[texts[mine]] + np.where(where < 0, ~where, where)[mine]
         picked = np.searchsorted(at, np.sort(wanted))
         text = np.searchsorted(words.first, at[picked], side="right") - 1
         places = np.zeros(len(picked), _PLACE)
@@ -199,8 +199,8 @@ def earlier_passages(stretches: list[list[bytes]], places: list[tuple], length:
 
 
 def _match_shards(length: int):
-    """Rows of one shard at a time; per stretch with earlier passages its key and where they start."""
-    schema = pa.schema([("key", pa.int64()), ("starts", pa.list_(pa.int64()))])
+    """Rows of one shard at a time; runs [lo, hi] of starts of passages that start earlier."""
+    schema = pa.schema([("key", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())])
 
     def flush(rows: list[dict]) -> pa.RecordBatch:
         unpacker = zstandard.ZstdDecompressor()
@@ -209,16 +209,22 @@ def _match_shards(length: int):
         order = np.lexsort((places["start"], places["doc_id"], places["anchor"]))
         places = places[order]
         bounds = np.flatnonzero(np.diff(places["anchor"], prepend=places["anchor"][:1] - 1, append=places["anchor"][-1:] + 1))
-        keys, starts = [], []
+        keys, los, his = [], [], []
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             some = places[a:b]
             stretches = [texts[i].split(b" ") for i in order[a:b].tolist()]
             where = list(zip(some["doc_id"].tolist(), some["start"].tolist(), strict=True))
             for key, (_, start), hit in zip(some["key"].tolist(), where, earlier_passages(stretches, where, length), strict=True):
-                if hit:
+                at = 0
+                while at < len(hit):
+                    end = at
+                    while end + 1 < len(hit) and hit[end + 1] == hit[end] + 1:
+                        end += 1
                     keys.append(key)
-                    starts.append([start + i for i in hit])
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(starts, pa.list_(pa.int64()))], schema=schema)
+                    los.append(start + hit[at])
+                    his.append(start + hit[end])
+                    at = end + 1
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(los, pa.int32()), pa.array(his, pa.int32())], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, held = None, []
@@ -260,16 +266,16 @@ def _cut_out(length: int, with_text: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            starts = batch.column("starts")
+            runs = batch.column("runs")
             for lo, hi in W.slices(batch.column("text")):
                 words = W.cut(batch.column("text")[lo:hi], W.NOT_SPACE, lower=False)
                 drop = np.zeros(len(words.start) + 1, np.int64)
                 for row in range(lo, hi):
-                    found = starts[row].as_py()
+                    found = runs[row].as_py()
                     if found:
-                        at = words.first[row - lo] + np.unique(np.array(found, np.int64))
-                        np.add.at(drop, at, 1)
-                        np.add.at(drop, at + length, -1)
+                        bounds = words.first[row - lo] + np.array([(r["lo"], r["hi"] + length) for r in found])
+                        np.add.at(drop, bounds[:, 0], 1)
+                        np.add.at(drop, bounds[:, 1], -1)
                 gone = np.cumsum(drop)[:-1] > 0
                 kept = np.flatnonzero(~gone)
                 text = words.text_of_word()
@@ -312,20 +318,22 @@ def _cut_out(length: int, with_text: bool):
     return run
 
 
-def repeated_starts(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(key, starts): where a passage of `length` words starts that also starts earlier."""
+def repeated_runs(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """(key, runs): first and last starts [lo, hi] of neighbouring passages of `length` words that also start earlier."""
     anchors = keyed.select("key", "text").mapInArrow(_anchors(length, gram), "key long, anchor long, at int")
     repeated = cut_lineage(anchors.groupBy("anchor").count().filter("count > 1").select("anchor", "count"))
     shards = max(1, -(-(repeated.agg(F.sum("count")).first()[0] or 0) // SHARD_STRETCHES))
-    found = anchors.join(repeated, "anchor").groupBy("key").agg(F.collect_list(F.struct("at", (F.col("count") > ANCHOR_STRETCHES).alias("frequent"))).alias("found"))
+    marked = F.when(F.col("count") > ANCHOR_STRETCHES, F.bitwise_not("at")).otherwise(F.col("at"))
+    found = anchors.join(repeated, "anchor").groupBy("key").agg(F.collect_list(marked).alias("found"))
     rows = keyed.join(found, "key").select("key", "doc_id", "text", "found")
     packed = rows.mapInArrow(_pack(length, gram, shards), "shard int, places binary, texts binary")
     met = packed.repartition(shards, "shard").sortWithinPartitions("shard")
-    starts = met.mapInArrow(_match_shards(length), "key long, starts array<long>")
-    single = rows.filter(F.exists("found", lambda f: f["frequent"])).mapInArrow(_single_passages(length, gram), "code binary, key long, doc_id long, start long")
+    runs = met.mapInArrow(_match_shards(length), "key long, lo int, hi int")
+    single = rows.filter(F.exists("found", lambda f: f < 0)).mapInArrow(_single_passages(length, gram), "code binary, key long, doc_id long, start long")
     first = single.groupBy("code").agg(F.min(F.struct("doc_id", "start")).alias("first"))
-    later = single.join(first, "code").filter(F.struct("doc_id", "start") > F.col("first")).groupBy("key").agg(F.collect_list("start").alias("starts"))
-    return starts.union(later).groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"))
+    later = single.join(first, "code").filter(F.struct("doc_id", "start") > F.col("first"))
+    later = later.select("key", F.col("start").cast("int").alias("lo"), F.col("start").cast("int").alias("hi"))
+    return runs.union(later).groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
 
 
 def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
@@ -336,11 +344,11 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     the start of the passage alone. Further columns are ignored. An empty table gives no rows.
     """
     keyed = _keyed(docs)
-    starts = repeated_starts(keyed)
+    runs = repeated_runs(keyed)
     extra = ", kept_text string" if with_text else ""
     out = (
-        keyed.join(starts, "key", "left")
-        .select("doc_id", "unnamed", "text", "starts")
+        keyed.join(runs, "key", "left")
+        .select("doc_id", "unnamed", "text", "runs")
         .mapInArrow(_cut_out(LENGTH, with_text), f"doc_id long, unnamed boolean, n_words long, n_removed long, kept_sha256 string, spans array<struct<lo:long,hi:long>>{extra}")
     )
     return out.withColumn("doc_id", F.when(~F.col("unnamed"), F.col("doc_id"))).drop("unnamed")
