@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from riskweave.llm.common import BATCH_ROWS, cut_lineage, filesystem, new_path, task_batches
 
 REVISIT_BYTES = 1000  # payloads from this size on are kept once
-PACKAGE_ROWS = 4000  # pages of a package, about
 RUN_BYTES = 4 << 20  # of neighbouring records read at once
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 _TAIL = 22 + 65_535  # end record and the longest comment
@@ -213,13 +212,13 @@ def write_archives(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
     fs.create_dir(root, recursive=True)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     payload = F.coalesce("html", F.lit("")).cast("binary")
-    keyed = rows.withColumn("digest", F.when(F.octet_length(payload) >= least, F.sha2(payload, 256)))
-    first = keyed.filter("digest is not null").groupBy("digest").agg(F.max("page_id").alias("kept"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    # small payloads go by their page, so that the join deals them out evenly
+    small = F.concat(F.lit("page "), F.coalesce(F.xxhash64("page_id", "url").cast("string"), F.lit("")))
+    keyed = rows.withColumn("digest", F.when(F.octet_length(payload) >= least, F.sha2(payload, 256)).otherwise(small))
+    first = keyed.filter("digest not like 'page %'").groupBy("digest").agg(F.max("page_id").alias("kept"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     refers = F.when(~F.col("kept").eqNullSafe(F.col("page_id")), F.col("kept"))
     placed = keyed.join(first, "digest", "left").select("page_id", "url", "html", refers.alias("refers_to"))
-    packages = max(1, -(-rows.count() // PACKAGE_ROWS))
-    packages = max(packages, spark.sparkContext.defaultParallelism)
-    placed = placed.repartition(packages, F.xxhash64("page_id", "url"))
+    # a package for each task of the join; no further shuffle of the pages
     return cut_lineage(placed.mapInArrow(_write(folder), "path string, n long, size long"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from riskweave.session import cut_lineage, new_path
 
-__all__ = ["components", "crc_mod_4", "cut_lineage", "filesystem", "held_out", "in_runs", "int64s", "new_path", "settings", "table", "task_batches", "uint64s"]
+__all__ = ["components", "crc_mod_4", "cut_lineage", "filesystem", "give_back", "held_out", "in_runs", "int64s", "new_path", "settings", "table", "task_batches", "uint64s"]
 
 #: rows of an Arrow batch handed to Python; texts may be long
 BATCH_ROWS = 2000
@@ -87,6 +88,14 @@ def in_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
+def give_back() -> None:
+    """Return memory that the allocators of a Python worker hold to the system; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def task_batches(rows: Iterator[dict], schema: pa.Schema, size: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
     """Arrow batches of dictionaries."""
     held = []

@@ -16,14 +16,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.llm import words as W
-from riskweave.llm.common import held_out
+from riskweave.llm.common import cut_lineage, give_back, held_out
 
 TRAIN_DOCS = 1000  # training texts of each language, those of the smallest hash of their identifier
 BUCKETS = 1 << 16  # of hashed trigrams
 SWITCH = 12.0  # nats that a change of language costs
 SCRIPT_SHARE = 0.01  # of its training words that a language must write in a script to be a candidate there
 UNKNOWN = "und"
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 # Unicode ranges of scripts (fixed values)
 SCRIPTS = [
@@ -249,6 +249,7 @@ def _label(shared, switch: float):
                     ],
                     names=["doc_id", "lang_pred", "score", "spans"],
                 )
+            give_back()
 
     return run
 
@@ -274,8 +275,6 @@ def identify(docs: DataFrame, model: LanguageModel | None = None, switch: float
 
 def keep_identified(docs: DataFrame, least: float = 0.0) -> DataFrame:
     """The rows of `docs` whose language is known with at least the score `least`, with all their columns."""
-    from riskweave.llm.common import cut_lineage
-
     gone = identify(docs).filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)).select(F.col("doc_id").alias("_gone_id")).distinct()
     gone = cut_lineage(gone)
     return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_gone_id")), "left_anti")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm import words as W
-from riskweave.llm.common import components, cut_lineage, in_runs
+from riskweave.llm.common import components, cut_lineage, give_back, in_runs
 
 SHINGLE = 4
 PERCENT = 80  # similarity that links two documents
@@ -79,6 +79,7 @@ def _sign(size: int):
                     [batch.column("doc_id")[lo:hi], pa.array([len(s) for s in sets], pa.int64()), pa.array([digest(s) for s in sets], pa.binary()), pa.array(rows, pa.list_(pa.int32()))],
                     schema=_SIGNED,
                 )
+            give_back()
 
     return run
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm import words as W
-from riskweave.llm.common import cut_lineage, int64s
+from riskweave.llm.common import cut_lineage, give_back, int64s
 
 LENGTH = 20
 GRAM = 6
@@ -237,6 +237,7 @@ def _match_shards(length: int):
                 held.append(r)
         if held:
             yield flush(held)
+        give_back()
 
     return run
 

@@ -20,13 +20,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.llm import words as W
-from riskweave.llm.common import cut_lineage, filesystem, new_path
+from riskweave.llm.common import cut_lineage, filesystem, give_back, new_path
 
 END_ID = 2
 MAGIC = b"RWTOKIX1"
 BUCKET_KEYS = 4  # mean keys of one displacement
 READ_BYTES = 8 << 20
-CACHE_WORDS = 2_000_000  # distinct words whose ids one worker keeps
+CACHE_WORDS = 500_000  # distinct words whose ids one worker keeps
+_ENCODE = 5_000  # words given to the tokenizer at once
 SHARD_ROWS = 5_000  # about as many documents to a shard
 
 _RECORD = np.dtype([("fingerprint", "<u8"), ("doc_id", "<i8"), ("named", "u1"), ("first", "<i8"), ("count", "<i8")])
@@ -144,7 +145,9 @@ class WordEncoder:
     def _learn(self, hashes: np.ndarray, raw: list[bytes]) -> None:
         if len(self.known) + len(hashes) > CACHE_WORDS:
             self.clear()
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast([r.decode("utf-8") for r in raw], add_special_tokens=False)]
+        ids: list[list[int]] = []
+        for i in range(0, len(raw), _ENCODE):
+            ids += [e.ids for e in self.tokenizer.encode_batch_fast([r.decode("utf-8") for r in raw[i : i + _ENCODE]], add_special_tokens=False)]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
         stop = len(self.store) + np.cumsum(sizes)
@@ -264,6 +267,7 @@ def _write(folder: str, tokenizer: str, end: int):
             records[name][slot] = values
         with fs.open_output_stream(f"{path}.idx") as f:
             f.write(ShardIndex.to_bytes(displacements, records, width))
+        give_back()
         yield pa.RecordBatch.from_pylist([{"shard": shard, "path": path, "n": len(h), "ids": int(counts.sum()), "width": width}], _MANIFEST_ARROW)
 
     return run
