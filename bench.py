@@ -14,7 +14,7 @@ from riskweave.session import build_session  # noqa: E402
 
 HEADLINE = [
     "ag06_company_conformity", "ag03_period_metrics", "jn02_financial_summary", "jn03_risk_candidates", "wn16_company_dashboard",
-    "ag01_annual_prices", "ml01_feature_matrix", "ml05_anomaly_scores", "ml07_attributions", "gr12_final_scores", "jn10_top_auditor_pairs",
+    "ag01_annual_prices", "ml01_feature_matrix", "ml05_anomaly_scores", "ml07_attributions", "ml09_scoring_job", "gr12_final_scores", "jn10_top_auditor_pairs",
     "gr05_components", "gr06_pagerank", "tx03_sections", "tx04_recursive_chunks", "tx06_lexicon_scan", "tx09_cosine_top_k",
     "src01_company_facts", "src10_upsert_facts", "ag15_bias_groups", "ag36_weekly_performance", "st02_daily_monitor",
 ]

@@ -182,9 +182,13 @@ SELECT *, lag(ar_to_revenue) OVER s AS prior_ar_to_revenue, lag(revenues) OVER s
   lag(accounts_receivable) OVER s AS prior_receivable,
   avg(gross_margin) OVER f AS gross_margin_avg4, avg(operating_margin) OVER f AS operating_margin_avg4,
   avg(net_margin) OVER f AS net_margin_avg4, sum(revenues) OVER f AS revenues_sum4,
+  avg(CASE WHEN counts THEN gross_margin END) OVER q AS t4q_gross_margin, avg(CASE WHEN counts THEN operating_margin END) OVER q AS t4q_operating_margin,
+  avg(CASE WHEN counts THEN net_margin END) OVER q AS t4q_net_margin, sum(CASE WHEN counts THEN revenues END) OVER q AS t4q_total_revenues,
   row_number() OVER (PARTITION BY cik, fiscal_year ORDER BY period_end DESC, form) AS period_rank_in_year
-FROM rated WINDOW s AS (PARTITION BY cik, form ORDER BY period_end),
-  f AS (PARTITION BY cik, form ORDER BY period_end ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)"""
+FROM (SELECT *, row_number() OVER (PARTITION BY cik, fiscal_year, fiscal_quarter ORDER BY form, period_end DESC) = 1 AS counts FROM rated)
+WINDOW s AS (PARTITION BY cik, form ORDER BY period_end),
+  f AS (PARTITION BY cik, form ORDER BY period_end ROWS BETWEEN 3 PRECEDING AND CURRENT ROW),
+  q AS (PARTITION BY cik ORDER BY fiscal_year * 4 + fiscal_quarter RANGE BETWEEN 3 PRECEDING AND CURRENT ROW)"""
 
 CTES["flagged"] = """
 SELECT *, CASE WHEN ar_to_revenue > prior_ar_to_revenue * 1.15::DOUBLE THEN 1 ELSE 0 END AS flag_ar_acceleration,
@@ -217,8 +221,8 @@ SELECT l.cik, c.company_name, c.ticker, c.industry_group, l.period_end AS latest
   coalesce(f.late_filings_count, 0) > 0 AS has_late_filings, coalesce(f.late_filings_count, 0) AS late_filings_count,
   coalesce(f.max_reporting_lag_days, 0) AS max_reporting_lag_days, {rnd(_SCORE, 4)} AS pre_ml_risk_score,
   CASE {' '.join(f"WHEN {x} = 1 THEN '{x[5:]}'" for x in K.FLAGS)} ELSE 'None' END AS dominant_signal,
-  gross_margin_avg4, operating_margin_avg4, net_margin_avg4, revenues_sum4
-FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cik ORDER BY period_end DESC, form, id) AS rn FROM history WHERE form = '10-K') WHERE rn = 1) l
+  t4q_gross_margin, t4q_operating_margin, t4q_net_margin, t4q_total_revenues
+FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cik ORDER BY period_end DESC, form, id) AS rn FROM history) WHERE rn = 1) l
 LEFT JOIN t_companies c ON l.cik = c.cik LEFT JOIN filing_agg f ON l.cik = f.cik)"""
 
 

@@ -262,6 +262,12 @@ def _(t):
     return rounded(one.select("period_end", "form", "revenues").orderBy("period_end", "form"), 2)
 
 
+@query("src18_company_lookup", "SELECT cik, ticker, company_name, industry_group FROM t_companies WHERE cik = '0000000003' OR upper(ticker) = 'S7'")
+def _(t):
+    # by id, and by ticker whatever its case
+    return t.companies.where((F.col("cik") == "0000000003") | (F.upper("ticker") == "S7")).select("cik", "ticker", "company_name", "industry_group")
+
+
 @query("so06_missing_tables", "SELECT 'risk_briefs' AS table_name UNION ALL SELECT 'shap_values'")
 def _(t):
     from riskweave.operators.quality import missing_names

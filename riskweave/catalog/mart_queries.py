@@ -22,8 +22,7 @@ def history(t):
 
 
 def candidates(t, ranked=False):
-    # the last quarter of the order data is cut short, so the latest annual period is judged
-    return marts.risk_candidates(history(t).where("form = '10-K'"), t.companies, t.filings, ranked)
+    return marts.risk_candidates(history(t), t.companies, t.filings, ranked)
 
 
 @query("prj01_safe_divide", f"""SELECT l_returnflag, l_linenumber, count(*) AS n, {rnd('sum(l_tax / nullif(l_discount, 0))', 4)} AS tax_per_discount,
@@ -139,7 +138,7 @@ _CAND = ["cik", "company_name", "ticker", "industry_group", "latest_period", "ha
   CAST(row_number() OVER (PARTITION BY industry_group ORDER BY revenues DESC NULLS LAST, cik) AS INT) AS risk_rank_in_industry FROM candidates""")
 def _(t):
     out = candidates(t, ranked=True)
-    return rounded(out.drop("gross_margin_avg4", "operating_margin_avg4", "net_margin_avg4", "revenues_sum4"))
+    return rounded(out.drop("t4q_gross_margin", "t4q_operating_margin", "t4q_net_margin", "t4q_total_revenues"))
 
 
 CTES["peers"] = """
@@ -151,8 +150,8 @@ SELECT *, avg(gross_margin) OVER (PARTITION BY industry_group) AS industry_avg_g
 
 @query("wn16_company_dashboard", f"""SELECT cik, ticker, company_name, industry_group, risk_tier, pre_ml_risk_score, dominant_signal, total_signal_count, latest_period,
  {_r(['revenues', 'gross_margin', 'operating_margin', 'net_margin', 'current_ratio', 'debt_to_equity', 'ar_to_revenue', 'revenue_yoy_growth'])}, has_late_filings, late_filings_count,
- {rnd('gross_margin_avg4')} AS t4q_gross_margin, {rnd('operating_margin_avg4')} AS t4q_operating_margin, {rnd('net_margin_avg4')} AS t4q_net_margin,
- {rnd('revenue_yoy_growth')} AS t4q_revenue_growth, {rnd('revenues_sum4')} AS t4q_total_revenues,
+ {rnd('t4q_gross_margin')} AS t4q_gross_margin, {rnd('t4q_operating_margin')} AS t4q_operating_margin, {rnd('t4q_net_margin')} AS t4q_net_margin,
+ {rnd('revenue_yoy_growth')} AS t4q_revenue_growth, {rnd('t4q_total_revenues')} AS t4q_total_revenues,
  {rnd('gross_margin - industry_med_gross_margin')} AS gross_margin_vs_peers, {rnd('debt_to_equity - industry_med_debt_to_equity')} AS leverage_vs_peers,
  {_r(['industry_avg_gross_margin', 'industry_avg_operating_margin', 'industry_med_gross_margin', 'industry_med_debt_to_equity'])} FROM peers""")
 def _(t):

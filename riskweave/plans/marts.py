@@ -73,6 +73,15 @@ def trends(rated: DataFrame, leverage_limit: float = 3.0) -> DataFrame:
     series = Window.partitionBy("cik", "form").orderBy("period_end")
     last4 = series.rowsBetween(-3, 0)
     year = Window.partitionBy("cik", "fiscal_year").orderBy(F.desc("period_end"), "form")
+    # trailing values run over the quarters of a company whatever their form, one row a quarter
+    number = F.col("fiscal_year") * 4 + F.col("fiscal_quarter")
+    quarter = Window.partitionBy("cik", "fiscal_year", "fiscal_quarter").orderBy("form", F.desc("period_end"))
+    trailing = Window.partitionBy("cik").orderBy(number).rangeBetween(-3, 0)
+    rated = rated.withColumn("_counts", F.row_number().over(quarter) == 1)
+
+    def counted(name: str) -> Column:
+        return F.when(F.col("_counts"), F.col(name))
+
     base = rated.withColumns({
         "prior_ar_to_revenue": F.lag("ar_to_revenue").over(series),
         "prior_revenues": F.lag("revenues").over(series),
@@ -82,7 +91,11 @@ def trends(rated: DataFrame, leverage_limit: float = 3.0) -> DataFrame:
         "net_margin_avg4": F.avg("net_margin").over(last4),
         "revenues_sum4": F.sum("revenues").over(last4),
         "period_rank_in_year": F.row_number().over(year),
-    })
+        "t4q_gross_margin": F.avg(counted("gross_margin")).over(trailing),
+        "t4q_operating_margin": F.avg(counted("operating_margin")).over(trailing),
+        "t4q_net_margin": F.avg(counted("net_margin")).over(trailing),
+        "t4q_total_revenues": F.sum(counted("revenues")).over(trailing),
+    }).drop("_counts")
     rules = {
         "flag_ar_acceleration": F.col("ar_to_revenue") > F.col("prior_ar_to_revenue") * 1.15,
         "flag_cashflow_divergence": F.abs(F.col("operating_cashflow") - F.col("net_income")) > F.abs("net_income") * 0.2,
@@ -163,7 +176,7 @@ def risk_candidates(history: DataFrame, companies: DataFrame, filings: DataFrame
             F.coalesce("max_reporting_lag_days", F.lit(0)).alias("max_reporting_lag_days"),
             F.round(rule_score(), 4).alias("pre_ml_risk_score"),
             dominant_signal().alias("dominant_signal"),
-            "gross_margin_avg4", "operating_margin_avg4", "net_margin_avg4", "revenues_sum4",
+            "t4q_gross_margin", "t4q_operating_margin", "t4q_net_margin", "t4q_total_revenues",
         )
         .withColumn("risk_tier", tier("pre_ml_risk_score"))
     )
@@ -193,11 +206,9 @@ def company_dashboard(candidates: DataFrame) -> DataFrame:
             "dominant_signal", "total_signal_count", "latest_period", "revenues",
             "gross_margin", "operating_margin", "net_margin", "current_ratio", "debt_to_equity", "ar_to_revenue",
             "revenue_yoy_growth", "has_late_filings", "late_filings_count",
-            F.col("gross_margin_avg4").alias("t4q_gross_margin"),
-            F.col("operating_margin_avg4").alias("t4q_operating_margin"),
-            F.col("net_margin_avg4").alias("t4q_net_margin"),
+            "t4q_gross_margin", "t4q_operating_margin", "t4q_net_margin",
             F.col("revenue_yoy_growth").alias("t4q_revenue_growth"),
-            F.col("revenues_sum4").alias("t4q_total_revenues"),
+            "t4q_total_revenues",
             (F.col("gross_margin") - F.col("industry_med_gross_margin")).alias("gross_margin_vs_peers"),
             (F.col("debt_to_equity") - F.col("industry_med_debt_to_equity")).alias("leverage_vs_peers"),
             "industry_avg_gross_margin", "industry_avg_operating_margin",

@@ -27,7 +27,7 @@ def build_session(app: str = "riskweave", master: str | None = None, shuffle_par
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a local one only where none is named (tests)."""
+    """The folder named by spark.checkpoint.dir; one of its own only in local mode, where all tasks share the machine."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         if spark.sparkContext.getCheckpointDir() is None:
@@ -35,6 +35,8 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="riskweave-")
         spark.sparkContext.setCheckpointDir(current)
         current = spark.sparkContext.getCheckpointDir()

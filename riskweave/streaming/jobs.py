@@ -13,13 +13,13 @@ from riskweave.session import new_path
 from riskweave.sources.sinks import VersionedTable
 
 
-def file_stream(spark: SparkSession, folder: str, glob: str, per_trigger: int | None = None) -> DataFrame:
-    """Files of one kind in a folder as a stream; the schema is taken from the files already there."""
-    schema = spark.read.option("pathGlobFilter", glob).parquet(folder).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+def file_stream(spark: SparkSession, folder: str, table: str, per_trigger: int | None = None) -> DataFrame:
+    """A table, one file or a folder of files, as a stream; the schema is that of the files already there."""
+    path = f"{folder.rstrip('/')}/{table}"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if per_trigger:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
-    return reader.parquet(folder)
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")  # as a pattern it may name a file or a folder alike
 
 
 def run_available(stream: DataFrame, mode: str, checkpoint: str, *, path: str | None = None, each: Callable[[DataFrame, int], None] | None = None) -> None:

@@ -106,3 +106,16 @@ def test_newest_company_row(spark):
     rows = [("7", "old", 1), ("0000000007", "new", 2), ("8", "only", 1)]
     out = marts.newest_companies(spark.createDataFrame(rows, "cik string, name string, updated_at int"))
     assert {(r["cik"], r["name"]) for r in out.collect()} == {("0000000007", "new"), ("0000000008", "only")}
+
+
+def test_trailing_quarters_run_across_forms(spark):
+    from riskweave.plans.marts import trends
+
+    rows = [("1", q // 4 + 2000, q % 4 + 1, "10-K" if q % 4 == 3 else "10-Q", float(q)) for q in range(8)]
+    rows.append(("1", 2001, 4, "10-Q", 1000.0))  # the same quarter once more
+    df = spark.createDataFrame(rows, "cik string, fiscal_year int, fiscal_quarter int, form string, revenues double")
+    empty = ["gross_margin", "operating_margin", "net_margin", "ar_to_revenue", "accounts_receivable", "operating_cashflow", "net_income", "debt_to_equity", "current_ratio"]
+    df = df.withColumns({c: F.lit(None).cast("double") for c in empty}).withColumn("period_end", F.make_date("fiscal_year", F.col("fiscal_quarter") * 3, F.lit(28)))
+    got = {(r.fiscal_year, r.fiscal_quarter, r.form): r.t4q_total_revenues for r in trends(df).collect()}
+    assert got[2000, 4, "10-K"] == 0 + 1 + 2 + 3 and got[2001, 2, "10-Q"] == 2 + 3 + 4 + 5
+    assert got[2001, 4, "10-K"] == got[2001, 4, "10-Q"] == 4 + 5 + 6 + 7

@@ -115,3 +115,12 @@ def test_stream_windows_merge_and_ignore_late_rows(spark, tmp_path):
     got = {r["window_start"].day: r["total_scored"] for r in table.read().collect()}
     assert got == {1: 3, 2: 1, 12: 1, 13: 2}
     assert table.read().where(F.dayofmonth("window_start") == 12).first()["anomaly_rate"] == 1.0
+
+
+def test_stream_reads_a_table_of_several_files(spark, tmp_path):
+    spark.range(30).repartition(3).write.parquet(str(tmp_path / "many.parquet"))
+    spark.range(7).coalesce(1).write.parquet(str(tmp_path / "one"))
+    for name, n in (("many.parquet", 30), ("one", 7)):
+        out = str(tmp_path / f"out-{n}")
+        J.run_available(J.file_stream(spark, str(tmp_path), name, 1), "append", str(tmp_path / f"state-{n}"), path=out)
+        assert spark.read.parquet(out).count() == n
