@@ -25,6 +25,7 @@ BLOCK = 64  # documents
 SLOTS = 1000  # of a period; at least four for each source
 TEMPERATURE = 0.5  # weights follow the size of a source to this power unless given
 SOURCES = 10_000  # sources that the driver may hold
+BROADCAST_PLACES = 500_000  # places (16 bytes each) that may be broadcast to the texts; beyond that Spark joins by shuffle
 BUCKET_ROWS = 20_000  # rows that are numbered together
 
 
@@ -175,5 +176,7 @@ def slot_of(plan: list[dict], source: str, block: int) -> int:
 def in_mixed_order(docs: DataFrame, **options) -> DataFrame:
     """All rows of `docs` with their columns, laid out by position: written files, read by name, hold the mixture in order."""
     places = mix(docs, **options).groupBy(F.col("doc_id").alias("_id")).agg(F.min("position").alias("_position"))
-    out = docs.join(places, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")))
+    places = cut_lineage(places)
+    few = places.count() <= BROADCAST_PLACES
+    out = docs.join(F.broadcast(places) if few else places, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")))
     return out.repartitionByRange("_position").sortWithinPartitions("_position").drop("_id", "_position")

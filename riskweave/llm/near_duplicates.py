@@ -235,8 +235,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
     """The rows of `docs` that near_duplicates keeps, one for each component, with all their columns."""
-    kept = near_duplicates(docs, **options).filter("kept").select(F.col("doc_id").alias("_kept_id"))
-    kept = cut_lineage(kept)
-    out = docs.join(kept.distinct(), docs["doc_id"].cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")
-    repeated = kept.groupBy("_kept_id").count().filter("count > 1").limit(1).count()
-    return out.dropDuplicates(["doc_id"]) if repeated else out
+    found = cut_lineage(near_duplicates(docs, **options).groupBy(F.col("doc_id").alias("_id")).agg(F.sum(F.col("kept").cast("int")).alias("n")))
+    gone = found.filter("n = 0").select("_id")
+    few = gone.count() <= BROADCAST_IDS
+    out = docs.join(F.broadcast(gone) if few else gone, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")), "left_anti")
+    return out.dropDuplicates(["doc_id"]) if found.filter("n > 1").limit(1).count() else out
