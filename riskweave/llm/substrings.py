@@ -169,7 +169,7 @@ def _pack(length: int, gram: int, shards: int):
             rows = []
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 some = order[a:b]
-                rows.append({"shard": int(shard[some[0]]), "places": places[some].tobytes(), "texts": packer.compress(b"\n".join([texts[i] for i in some.tolist()]))})
+                rows.append({"shard": int(shard[some[0]]), "places": packer.compress(b"".join([places[name][some].tobytes() for name in _PLACE.names])), "texts": packer.compress(b"\n".join([texts[i] for i in some.tolist()]))})
             yield pa.RecordBatch.from_pylist(rows, schema)
 
     return run
@@ -204,7 +204,13 @@ def _match_shards(length: int):
 
     def flush(rows: list[dict]) -> pa.RecordBatch:
         unpacker = zstandard.ZstdDecompressor()
-        places = np.concatenate([np.frombuffer(r["places"], _PLACE) for r in rows])
+        parts = []
+        for r in rows:
+            columns = np.frombuffer(unpacker.decompress(r["places"]), "<i8").reshape(len(_PLACE.names), -1)
+            parts.append(np.zeros(columns.shape[1], _PLACE))
+            for name, column in zip(_PLACE.names, columns, strict=True):
+                parts[-1][name] = column
+        places = np.concatenate(parts)
         texts = [t for r in rows for t in unpacker.decompress(r["texts"]).split(b"\n")]
         order = np.lexsort((places["start"], places["doc_id"], places["anchor"]))
         places = places[order]
