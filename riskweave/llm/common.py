@@ -12,12 +12,14 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.session import cut_lineage, new_path
+from riskweave import session
+from riskweave.session import new_path
 
 __all__ = ["components", "crc_mod_4", "cut_lineage", "filesystem", "give_back", "held_out", "in_runs", "int64s", "new_path", "settings", "table", "task_batches", "uint64s"]
 
-#: rows of an Arrow batch handed to Python; texts may be long
+#: rows and bytes of an Arrow batch handed to Python, which JVM and worker both hold; a single longer text is a batch of its own
 BATCH_ROWS = 2000
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -42,6 +44,12 @@ def settings(spark: SparkSession, **values: str):
                 spark.conf.set(key, value)
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The rows as a table in the shared folder, worked out with small Arrow batches."""
+    with settings(df.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=str(BATCH_ROWS), spark__sql__execution__arrow__maxBytesPerBatch=str(BATCH_BYTES)):
+        return session.cut_lineage(df)
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """The store of a folder in the shared location, for tasks that write or range-read files."""
     return pafs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri.removeprefix("file:"))

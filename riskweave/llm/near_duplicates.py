@@ -129,6 +129,7 @@ def _link_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_pylist(held, schema)
             held = []
     yield pa.RecordBatch.from_pylist(held, schema)
+    give_back()
 
 
 def candidate_links(classes: DataFrame) -> DataFrame:
@@ -200,6 +201,7 @@ def _settle(percent: int):
 
             links = list(_stars(list(nodes), near))
             yield pa.RecordBatch.from_pylist(links, _LINKS)
+        give_back()
 
     return run
 

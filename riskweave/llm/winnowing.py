@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm import words as W
-from riskweave.llm.common import cut_lineage
+from riskweave.llm.common import cut_lineage, give_back
 
 WINDOW = 10  # words of a benchmark window
 GRAM = 5
@@ -160,6 +160,7 @@ def _with_ids(rows: DataFrame, window: int, gram: int, short: list[int], wanted)
                 ids = batch.column("doc_id")[at : at + part.num_rows]
                 yield pa.RecordBatch.from_arrays([ids, *part.columns], names=["doc_id", *part.schema.names])
                 at += part.num_rows
+        give_back()
 
     return rows.mapInArrow(run, f"doc_id {kind.simpleString()}, {_PRINTED_DDL}")
 
