@@ -350,7 +350,8 @@ def _(t):
 @query("tx13_driver_narratives", f"""SELECT s.cik, s.company_name || ' scores ' || printf('%.0f', {rnd('s.ml_risk_score', 0)}) || '/100 on the ML risk model. Primary risk drivers: ' || coalesce(array_to_string((list(friendly_name ORDER BY rank_in_company) FILTER (direction = 'increases'))[1:3], '; '), 'none identified')
  || '. Mitigating factors: ' || coalesce(array_to_string((list(friendly_name ORDER BY rank_in_company) FILTER (direction = 'decreases'))[1:2], '; '), 'none identified') || '. '
  || CASE WHEN s.ml_risk_score > 70 THEN 'Recommend escalation for detailed analyst review.' ELSE 'Monitor for deterioration next quarter.' END AS narrative
- FROM (SELECT * FROM effects WHERE abs_shap_value > 0) e JOIN t_scored s ON e.cik = s.cik GROUP BY s.cik, s.company_name, s.ml_risk_score""")
+ FROM (SELECT * FROM effects WHERE abs_shap_value > 0) e JOIN t_scored s ON e.cik = s.cik GROUP BY s.cik, s.company_name, s.ml_risk_score
+ UNION ALL SELECT cik, '{K.NO_EXPLANATION}' FROM t_scored WHERE cik NOT IN (SELECT cik FROM effects WHERE abs_shap_value > 0)""")
 def _(t):
     return explain.narratives(effects(t), t.scored)
 

@@ -184,10 +184,9 @@ def _(t):
 @query("src12_replace_table", "SELECT cik, final_risk_score FROM t_scored")
 def _(t):
     path = new_path(t.spark, "final-scores")
-    table = sinks.VersionedTable(t.spark, path)
-    table.replace(t.scored.select("cik", "final_risk_score").where("final_risk_score < 10"))
-    table.replace(t.scored.select("cik", "final_risk_score"))
-    return table.read()
+    scores = t.scored.select("cik", "final_risk_score")
+    sinks.replace_table(scores.where("final_risk_score < 10"), path)
+    return sinks.replace_table(scores, path)
 
 
 _STACK = "SELECT 'final_risk_scores' AS table_name, cik, final_risk_score, NULL::DOUBLE AS ml_risk_score, NULL::VARCHAR AS audit_id FROM t_scored UNION ALL SELECT 'ml_anomaly_scores', cik, NULL, ml_risk_score, NULL FROM t_scored UNION ALL SELECT 'audit_trail', cik, final_risk_score, NULL, audit_id FROM t_audit"

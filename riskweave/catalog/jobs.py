@@ -7,7 +7,7 @@ from riskweave.catalog.mart_queries import candidates
 from riskweave.operators import forest
 from riskweave.plans import scoring
 from riskweave.session import cut_lineage, new_path
-from riskweave.sources.sinks import VersionedTable
+from riskweave.sources import sinks
 from riskweave.sources.tables import Tables
 from riskweave.streaming import jobs as J
 
@@ -106,9 +106,12 @@ def _(t):
         F.lpad(F.col("o_custkey").cast("string"), 10, "0").alias("cik"), F.col("o_orderkey").alias("seq"),
         F.col("o_orderkey").cast("string").alias("accession_number"), F.col("o_orderdate").cast("date").alias("filing_date"),
         F.lit("2024-01-01").cast("date").alias("ingested_on"))
-    table = VersionedTable(t.spark, new_path(t.spark, "filings"))
-    J.run_available(o, "append", new_path(t.spark, "filings-state"), each=J.upsert_into(table, ["cik"], ["ingested_on"], newest="seq"))
-    return table.read().drop("seq")
+    path = new_path(t.spark, "filings")
+    J.run_available(o, "append", new_path(t.spark, "filings-state"), each=J.batches_into(path))
+    schema = "cik string, seq long, accession_number string, filing_date date, ingested_on date"
+    # orders may arrive in any order, so the highest one counts whatever its batch
+    changes = t.spark.read.schema(schema).parquet(path)
+    return sinks.upsert_changes(changes, ["cik"], F.col("seq"), ["ingested_on"]).drop("seq", sinks.BATCH)
 
 
 @query("st04_hourly_drift", f"""SELECT strftime(run_hour, '%Y-%m-%d %H:%M:%S') AS window_start, {rnd('s', 4)} AS score_drift, {rnd('r', 4)} AS rate_drift, CASE WHEN abs(s) > 20 THEN 'HIGH' ELSE 'MEDIUM' END AS severity FROM (

@@ -135,12 +135,13 @@ def _(t):
 _CITE = "'[' || place || '] ' || d.source || ' | 10-K | Period: P' || d.doc_id || ' | ' || d.lang || chr(10) || d.text"
 
 
-@query("tx10_contexts", f"SELECT query_id, string_agg({_CITE}, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY place) AS context FROM hits JOIN documents d ON d.doc_id = vec_id GROUP BY query_id")
+@query("tx10_contexts", f"""SELECT cent.query_id, coalesce(context, '{K.NO_EXCERPTS}') AS context FROM cent LEFT JOIN
+ (SELECT query_id, string_agg({_CITE}, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY place) AS context FROM hits JOIN documents d ON d.doc_id = vec_id GROUP BY query_id) h ON h.query_id = cent.query_id""")
 def _(t):
     d = t.raw("documents").select(
         F.col("doc_id").alias("vec_id"), F.col("source").alias("company_name"), F.lit("10-K").alias("form_type"),
         F.concat(F.lit("P"), F.col("doc_id").cast("string")).alias("period_of_report"), F.col("lang").alias("section_name"), "text")
-    return V.contexts(hits(t).join(d, "vec_id"))
+    return V.contexts(hits(t).join(d, "vec_id"), V.centroids(t.raw("embeddings"), "label"))
 
 
 @query("so04_source_labels", "SELECT DISTINCT query_id, d.source FROM hits JOIN documents d ON d.doc_id = vec_id")

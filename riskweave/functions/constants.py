@@ -149,6 +149,10 @@ SIGNAL_TEXT = {
     "flag_margin_compression": "Margin compression (+0.15)",
 }
 
+# Texts where there is nothing to tell.
+NO_EXPLANATION = "Insufficient data for explanation."
+NO_EXCERPTS = "No relevant filing excerpts found."
+
 # Risk phrases by category, and positive phrases.
 RISK_PHRASES = {
     "going_concern": [

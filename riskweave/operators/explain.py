@@ -36,9 +36,9 @@ def ranked_rows(wide: DataFrame, columns: Sequence[str], key: str = "cik") -> Da
 
 
 def narratives(values: DataFrame, scores: DataFrame) -> DataFrame:
-    """Three strongest drivers, two strongest mitigations and the advice, as text per company.
+    """Three strongest drivers, two strongest mitigations and the advice, as text per scored company.
 
-    A company has as many rows as the model has features, so the gathered lists are short.
+    Companies without effects get a text that says so. A company has as many rows as the model has features, so the gathered lists are short.
     """
     def listed(sign: str, n: int) -> Column:
         rows = F.array_sort(F.collect_list(F.when(F.col("direction") == sign, F.struct("rank_in_company", "friendly_name"))))
@@ -51,4 +51,5 @@ def narratives(values: DataFrame, scores: DataFrame) -> DataFrame:
         "%s scores %.0f/100 on the ML risk model. Primary risk drivers: %s. Mitigating factors: %s. %s",
         "company_name", F.round("ml_risk_score", 0), "drivers", "easing", advice,
     )
-    return told.join(scores.select("cik", "company_name", "ml_risk_score"), "cik").select("cik", text.alias("narrative"))
+    everyone = scores.select("cik", "company_name", "ml_risk_score").join(told, "cik", "left")
+    return everyone.select("cik", F.when(F.col("drivers").isNull(), K.NO_EXPLANATION).otherwise(text).alias("narrative"))

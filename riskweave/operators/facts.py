@@ -30,11 +30,10 @@ def period_metrics(facts: DataFrame) -> DataFrame:
         F.coalesce("accession_number", F.lit("")),
         F.col("value"),
     )
-    aggs = [
-        F.max_by(F.when(F.col("metric") == m, F.col("value")), F.when(F.col("metric") == m, newest)).alias(m)
-        for m in K.METRICS
-    ]
-    return known.groupBy("cik", "period_end", "form").agg(*aggs).select(
+    # one ordered buffer per metric row; the pivot then only moves doubles
+    last = known.groupBy("cik", "period_end", "form", "metric").agg(F.max_by("value", newest).alias("value"))
+    aggs = [F.max(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in K.METRICS]
+    return last.groupBy("cik", "period_end", "form").agg(*aggs).select(
         strict_key("cik", "period_end", "form").alias("id"), "cik", "period_end", "form", *K.METRICS
     )
 

@@ -11,7 +11,10 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskweave.functions import constants as K
+
 BLOCK = 4096
+ROWS = 512  # chunks compared with a block of queries at a time
 
 
 def centroids(vectors: DataFrame, label: str, column: str = "embedding") -> DataFrame:
@@ -25,8 +28,9 @@ def centroids(vectors: DataFrame, label: str, column: str = "embedding") -> Data
 def cosine_top_k(chunks: DataFrame, queries: DataFrame, k: int = 6, key: str = "vec_id", column: str = "embedding", block: int = BLOCK) -> DataFrame:
     """query_id, key, similarity, place: the k nearest chunks of every query, exactly.
 
-    Queries go to the tasks in blocks of at most `block`; more queries make more passes, none is
-    dropped. A task keeps k rows per query and batch, so the shuffle carries no all-pairs table.
+    Queries go to the tasks in blocks of about `block`; more queries make more passes, none is
+    dropped. A task keeps k rows per query, whatever it reads, and compares ROWS chunks at a time:
+    arrays of some 50 MB.
     """
     count = queries.count()
     blocks = max(1, -(-count // block))
@@ -47,36 +51,56 @@ def _one_block(chunks: DataFrame, queries: DataFrame, k: int, key: str, column:
     held = chunks.sparkSession.sparkContext.broadcast((ids, q))
 
     def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names, queries_t = held.value[0], held.value[1].T
+        names, q = held.value
+        best_keys, best = None, np.zeros((len(names), 0))
         for pdf in batches:
-            if not len(pdf) or not len(names):
+            if not len(names):
                 continue
-            x = np.array(pdf[column].tolist(), dtype=np.float64)
-            x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
-            sims = (x @ queries_t).T
-            keys = pdf[key].to_numpy()
             # equal similarities keep the lower key, as the final ranking does
-            order = np.lexsort((np.broadcast_to(keys, sims.shape), -sims), axis=1)[:, :k]
-            yield pd.DataFrame({
-                "query_id": np.repeat(names, order.shape[1]),
-                key: keys[order].ravel(),
-                "similarity": np.take_along_axis(sims, order, axis=1).ravel(),
-            })
+            pdf = pdf.sort_values(key, kind="stable")
+            for at in range(0, len(pdf), ROWS):
+                part = pdf.iloc[at : at + ROWS]
+                x = np.array(part[column].tolist(), dtype=np.float64)
+                x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+                sims = q @ x.T
+                picked = _largest(sims, k)
+                keys, sims = part[key].to_numpy()[picked], np.take_along_axis(sims, picked, axis=1)
+                if best_keys is not None:
+                    keys, sims = np.concatenate([best_keys, keys], axis=1), np.concatenate([best, sims], axis=1)
+                order = np.lexsort((keys, -sims), axis=1)[:, :k]
+                best_keys, best = np.take_along_axis(keys, order, axis=1), np.take_along_axis(sims, order, axis=1)
+        if best_keys is not None:
+            yield pd.DataFrame({"query_id": np.repeat(names, best.shape[1]), key: best_keys.ravel(), "similarity": best.ravel()})
 
     id_type = dict(queries.dtypes)["query_id"]
     key_type = dict(chunks.dtypes)[key]
     return chunks.select(key, column).mapInPandas(nearest, f"query_id {id_type}, {key} {key_type}, similarity double")
 
 
-def contexts(hits: DataFrame, empty: str = "No relevant filing excerpts found.") -> DataFrame:
-    """Numbered citations with their texts per query; `hits` holds at most k rows per query."""
+def _largest(sims: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the k largest entries of each row, the first columns among equal ones."""
+    if sims.shape[1] <= k:
+        return np.broadcast_to(np.arange(sims.shape[1]), sims.shape)
+    bound = np.partition(sims, sims.shape[1] - k, axis=1)[:, -k][:, None]
+    above, equal = sims > bound, sims == bound
+    room = k - above.sum(axis=1, keepdims=True)
+    picked = above | (equal & (np.cumsum(equal, axis=1, dtype=np.int32) <= room))
+    return np.nonzero(picked)[1].reshape(-1, k)
+
+
+def contexts(hits: DataFrame, queries: DataFrame, empty: str = K.NO_EXCERPTS) -> DataFrame:
+    """Numbered citations with their texts for each row of `queries`, the `empty` text where nothing was found.
+
+    `hits` holds at most k rows per query.
+    """
     cited = F.concat(
         F.lit("["), F.col("place").cast("string"), F.lit("] "), F.coalesce("company_name", F.lit("Unknown")), F.lit(" | "), F.coalesce("form_type", F.lit("")),
         F.lit(" | Period: "), F.coalesce("period_of_report", F.lit("")), F.lit(" | "), F.coalesce("section_name", F.lit("")), F.lit("\n"), F.col("text"),
     )
     rows = F.array_sort(F.collect_list(F.when(F.col("text").isNotNull(), F.struct(F.col("place").alias("p"), cited.alias("t")))))
     joined = F.array_join(F.transform(rows, lambda r: r["t"]), "\n\n---\n\n")
-    return hits.groupBy("query_id").agg(F.when(F.size(rows) > 0, joined).otherwise(empty).alias("context"))
+    found = hits.groupBy("query_id").agg(F.when(F.size(rows) > 0, joined).alias("context"))
+    return queries.select("query_id").join(found, "query_id", "left").withColumn("context", F.coalesce("context", F.lit(empty)))
 
 
 def source_labels(hits: DataFrame) -> DataFrame:

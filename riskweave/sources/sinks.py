@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from riskweave import schemas as S
 
+BATCH = "batch_id"  # partition column of tables that grow by batches
+
 
 def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str], keep: Sequence[str] = (), update: Sequence[str] | None = None) -> DataFrame:
     """Existing rows overwritten by new rows of the same key.
@@ -97,75 +99,29 @@ def first_table(spark: SparkSession, names: Sequence[str], schema: str) -> DataF
     return spark.createDataFrame([], schema)
 
 
-# marks in the bucket column of a manifest
-REPLACED, MERGED = -1, -2
-
+def replace_table(df: DataFrame, path: str) -> DataFrame:
+    """All rows of a stored table anew; `df` must not read from it."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-class VersionedTable:
-    """A Parquet table kept in buckets of its key; readers see old rows until new ones are complete.
 
-    Every write goes to a folder of its own and becomes current by rows in the manifest, one per
-    bucket. A merge reads and rewrites only the buckets its rows fall into. A batch id that is
-    already in the manifest is not written again, so a replayed batch changes nothing.
-    """
+def write_batch(batch: DataFrame, path: str, batch_id: int) -> None:
+    """One partition of changes per batch; a replayed batch overwrites its own partition and nothing else."""
+    rows = batch.withColumn(BATCH, F.lit(batch_id).cast("long"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(path)
 
-    MANIFEST = "version bigint, batch_id bigint, bucket int, path string, written_at timestamp"
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 8):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.buckets = buckets
+def current_rows(spark: SparkSession, path: str, schema: str, keys: Sequence[str], keep: Sequence[str] = (), order: Sequence[str] = ()) -> DataFrame:
+    """State of a table of batches: per key the row of the last batch (within it, the highest `order`), `keep` as first stored.
 
-    def manifest(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(self.MANIFEST).parquet(f"{self.path}/manifest")
-        except AnalysisException:
-            return self.spark.createDataFrame([], self.MANIFEST)
-
-    def current(self) -> dict[int, str]:
-        """Folder of each bucket; at most one entry per bucket reaches the driver."""
-        newest = self.manifest().groupBy("bucket").agg(F.max_by("path", "version").alias("path"), F.max("version").alias("version"))
-        rows = newest.collect()
-        whole = max((r["version"] for r in rows if r["bucket"] == REPLACED), default=0)
-        return {r["bucket"]: r["path"] for r in rows if r["bucket"] >= 0 and r["version"] > whole}
-
-    def read(self, schema: str | None = None, buckets: Sequence[int] | None = None) -> DataFrame | None:
-        now = self.current()
-        paths = [p for b, p in now.items() if buckets is None or b in buckets]
-        if paths:
-            return self.spark.read.parquet(*paths)
-        return self.spark.createDataFrame([], schema) if schema else None
-
-    def replace(self, df: DataFrame, batch_id: int | None = None, keys: Sequence[str] = ()) -> None:
-        """All rows anew."""
-        if not self._seen(batch_id):
-            self._write(df, keys or df.columns, batch_id, whole=True)
-
-    def merge(self, new: DataFrame, keys: Sequence[str], keep: Sequence[str] = (), update: Sequence[str] | None = None, batch_id: int | None = None) -> None:
-        """Upsert of rows that are unique by key."""
-        if self._seen(batch_id):
-            return
-        touched = [r[0] for r in new.select(self._bucket(keys)).distinct().collect()]
-        now = self.read(buckets=touched)
-        self._write(new if now is None else upsert(now, new, keys, keep, update), keys, batch_id, whole=False)
-
-    def _bucket(self, keys: Sequence[str]) -> Column:
-        return F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int").alias("_bucket")
-
-    def _seen(self, batch_id: int | None) -> bool:
-        return batch_id is not None and not self.manifest().where(F.col("batch_id") == batch_id).isEmpty()
-
-    def _write(self, df: DataFrame, keys: Sequence[str], batch_id: int | None, whole: bool) -> None:
-        version = (self.manifest().agg(F.max("version")).first()[0] or 0) + 2
-        target = f"{self.path}/version-{version}"
-        df.withColumn("_bucket", self._bucket(keys)).write.mode("overwrite").partitionBy("_bucket").parquet(target)
-        # an empty write leaves no bucket folder
-        filled = self.spark.read.schema("_bucket int").parquet(target).select("_bucket").distinct().collect()
-        at = datetime.now(timezone.utc)
-        rows = [(version, batch_id, r[0], f"{target}/_bucket={r[0]}", at) for r in filled]
-        # a full replacement is marked one version before its buckets; any other write leaves a trace of its batch
-        rows.append((version - 1, batch_id, REPLACED if whole else MERGED, target, at))
-        self.spark.createDataFrame(rows, self.MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
+    A table without any batch has no rows. Changes are combined per task before the shuffle; `replace_table` of the
+    state into another path drops changes that are out of date.
+    """
+    try:
+        changes = spark.read.schema(f"{schema}, {BATCH} long").parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+    return upsert_changes(changes, keys, F.struct(BATCH, *order), keep).drop(BATCH)
 
 
 def run_row(spark: SparkSession, run_id: str, at: datetime, status: str = "running", companies: int = 0, filings: int = 0, facts: int = 0, error: str | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskweave.functions import constants as K
 from riskweave.functions.exprs import count_if, rate
 from riskweave.session import new_path
-from riskweave.sources.sinks import VersionedTable
+from riskweave.sources import sinks
 
 
 def file_stream(spark: SparkSession, folder: str, table: str, per_trigger: int | None = None) -> DataFrame:
@@ -48,25 +48,20 @@ def windowed_monitor(stream: DataFrame, length: str, offset: str | None = None,
     ).select(F.col("w.start").alias("window_start"), "total_scored", "anomalies_flagged", "avg_score", "anomaly_rate")
 
 
-def upsert_into(table: VersionedTable, keys: Sequence[str], keep: Sequence[str] = (), newest: str | None = None) -> Callable[[DataFrame, int], None]:
-    """A batch writer that merges each batch; a replayed batch id changes nothing."""
+def batches_into(path: str) -> Callable[[DataFrame, int], None]:
+    """A batch writer that keeps each batch as a partition; a replayed batch id changes nothing."""
+    return lambda batch, batch_id: sinks.write_batch(batch, path, batch_id)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch
-        if newest:
-            rest = [c for c in batch.columns if c not in keys]
-            rows = batch.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(newest, F.struct(*rest))).alias("_r")).select(*keys, "_r.*").select(*batch.columns)
-        table.merge(rows, keys, keep, batch_id=batch_id)
 
-    return write
+MONITOR = "window_start timestamp, total_scored bigint, anomalies_flagged bigint, avg_score double, anomaly_rate double"
 
 
 def monitor_table(stream: DataFrame, length: str, offset: str | None = None) -> DataFrame:
-    """Runs the windowed monitor into a table keyed by window and returns the table."""
+    """Runs the windowed monitor into a table of batches and returns its state, one row per window."""
     spark = stream.sparkSession
-    table = VersionedTable(spark, new_path(spark, "monitor"))
-    run_available(windowed_monitor(stream, length, offset), "update", new_path(spark, "monitor-state"), each=upsert_into(table, ["window_start"]))
-    return table.read("window_start timestamp, total_scored bigint, anomalies_flagged bigint, avg_score double, anomaly_rate double")
+    path = new_path(spark, "monitor")
+    run_available(windowed_monitor(stream, length, offset), "update", new_path(spark, "monitor-state"), each=batches_into(path))
+    return sinks.current_rows(spark, path, MONITOR, ["window_start"])
 
 
 def drift_rows(hours: DataFrame) -> DataFrame:

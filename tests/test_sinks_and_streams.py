@@ -28,29 +28,24 @@ def test_insert_ignore(spark):
     assert rows(sinks.insert_ignore(old, new, ["id"]), "id", "v") == [("1", "a"), ("2", "y")]
 
 
-def test_replayed_batch_changes_nothing(spark, tmp_path):
-    table = sinks.VersionedTable(spark, str(tmp_path / "t"))
-    assert table.read() is None
-    table.replace(spark.range(3), batch_id=0)
-    table.replace(spark.range(9), batch_id=0)
-    assert table.read().count() == 3
-    table.replace(table.read().unionAll(spark.range(3, 5)), batch_id=1)
-    assert sorted(r["id"] for r in table.read().collect()) == [0, 1, 2, 3, 4]
-    table.replace(spark.range(2), batch_id=2)
-    assert sorted(r["id"] for r in table.read().collect()) == [0, 1]
-
-
-def test_merge_rewrites_only_touched_buckets(spark, tmp_path):
-    table = sinks.VersionedTable(spark, str(tmp_path / "t"), buckets=16)
-    table.merge(spark.range(200).selectExpr("id", "0 AS v", "1 AS made"), ["id"], batch_id=0)
-    before = table.current()
-    table.merge(spark.createDataFrame([(7, 5, 9), (900, 6, 9)], "id long, v int, made int"), ["id"], keep=["made"], batch_id=1)
-    after = table.current()
-    assert len(before) == 16 and 1 <= sum(before[b] != after[b] for b in before) <= 2
-    got = {r["id"]: (r["v"], r["made"]) for r in table.read().collect()}
-    assert len(got) == 201 and got[7] == (5, 1) and got[900] == (6, 9) and got[8] == (0, 1)
-    table.merge(spark.createDataFrame([(7, 99, 9)], "id long, v int, made int"), ["id"], batch_id=1)
-    assert table.read().where("id = 7").first()["v"] == 5
+def test_replaced_table(spark, tmp_path):
+    sinks.replace_table(spark.range(9), str(tmp_path / "t"))
+    assert sorted(r["id"] for r in sinks.replace_table(spark.range(2), str(tmp_path / "t")).collect()) == [0, 1]
+
+
+def test_batches_merge_and_a_replay_changes_nothing(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "id long, v int, made int"
+    state = lambda: {r["id"]: (r["v"], r["made"]) for r in sinks.current_rows(spark, path, schema, ["id"], keep=["made"], order=["v"]).collect()}
+    assert state() == {}
+    first = spark.range(20).selectExpr("id", "0 AS v", "1 AS made")
+    second = spark.createDataFrame([(7, 5, 9), (7, 4, 8), (90, 6, 9)], schema)
+    for batch, number in ((first, 0), (second, 1), (first, 0), (second, 1)):
+        sinks.write_batch(batch, path, number)
+        if number:
+            got = state()
+            assert len(got) == 21 and got[7] == (5, 1) and got[90] == (6, 9) and got[8] == (0, 1)
+    sinks.write_batch(second.limit(0), path, 2)
+    assert len(state()) == 21
 
 
 def test_run_ledger(spark):
@@ -110,11 +105,12 @@ def test_stream_drops_repeats(spark, tmp_path):
 
 def test_stream_windows_merge_and_ignore_late_rows(spark, tmp_path):
     stream = land(spark, tmp_path)
-    table = sinks.VersionedTable(spark, str(tmp_path / "mon"))
-    J.run_available(J.windowed_monitor(stream, "1 day"), "update", str(tmp_path / "cp2"), each=J.upsert_into(table, ["window_start"]))
-    got = {r["window_start"].day: r["total_scored"] for r in table.read().collect()}
+    path = str(tmp_path / "mon")
+    J.run_available(J.windowed_monitor(stream, "1 day"), "update", str(tmp_path / "cp2"), each=J.batches_into(path))
+    table = sinks.current_rows(spark, path, J.MONITOR, ["window_start"])
+    got = {r["window_start"].day: r["total_scored"] for r in table.collect()}
     assert got == {1: 3, 2: 1, 12: 1, 13: 2}
-    assert table.read().where(F.dayofmonth("window_start") == 12).first()["anomaly_rate"] == 1.0
+    assert table.where(F.dayofmonth("window_start") == 12).first()["anomaly_rate"] == 1.0
 
 
 def test_stream_reads_a_table_of_several_files(spark, tmp_path):

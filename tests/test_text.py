@@ -109,6 +109,6 @@ def test_cosine_search_is_exact(spark, block):
 def test_contexts(spark):
     hits = spark.createDataFrame([(1, 2, "B", "text b"), (1, 1, "A", "text a"), (2, 1, None, None)], "query_id int, place int, company_name string, text string").selectExpr(
         "*", "'10-K' form_type", "'2023' period_of_report", "'MD&A' section_name")
-    rows = {r["query_id"]: r["context"] for r in V.contexts(hits).collect()}
+    rows = {r["query_id"]: r["context"] for r in V.contexts(hits, spark.range(1, 4).selectExpr("cast(id as int) query_id")).collect()}
     assert rows[1] == "[1] A | 10-K | Period: 2023 | MD&A\ntext a\n\n---\n\n[2] B | 10-K | Period: 2023 | MD&A\ntext b"
-    assert rows[2] == "No relevant filing excerpts found."
+    assert rows[2] == rows[3] == "No relevant filing excerpts found."
