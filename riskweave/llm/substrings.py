@@ -332,7 +332,8 @@ def repeated_runs(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     shards = max(1, -(-(repeated.agg(F.sum("count")).first()[0] or 0) // SHARD_STRETCHES))
     marked = F.when(F.col("count") > ANCHOR_STRETCHES, F.bitwise_not("at")).otherwise(F.col("at"))
     found = anchors.join(repeated, "anchor").groupBy("key").agg(F.collect_list(marked).alias("found"))
-    rows = keyed.join(found, "key").select("key", "doc_id", "text", "found")
+    # all columns of `keyed`, so that remove_repeats joins over the same exchange of texts
+    rows = keyed.join(found, "key").select(*keyed.columns, "found")
     packed = rows.mapInArrow(_pack(length, gram, shards), "shard int, places binary, texts binary")
     met = packed.repartition(shards, "shard").sortWithinPartitions("shard")
     runs = met.mapInArrow(_match_shards(length), "key long, lo int, hi int")
