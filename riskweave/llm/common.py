@@ -11,15 +11,17 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from riskweave import session
 from riskweave.session import new_path
 
-__all__ = ["components", "crc_mod_4", "cut_lineage", "filesystem", "give_back", "held_out", "in_runs", "int64s", "new_path", "settings", "table", "task_batches", "uint64s"]
+__all__ = ["components", "crc_mod_4", "cut_lineage", "filesystem", "give_back", "held_out", "in_runs", "int64s", "new_path", "settings", "table", "task_batches", "thinned", "uint64s"]
 
 #: rows and bytes of an Arrow batch handed to Python, which JVM and worker both hold; a single longer text is a batch of its own
 BATCH_ROWS = 2000
 BATCH_BYTES = 4 << 20
+SPREAD = 16  # tasks among which the rows of a group are thinned out
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -64,6 +66,17 @@ def held_out(key: Column) -> Column:
     return F.coalesce(crc_mod_4(key) == 2, F.lit(False))
 
 
+def thinned(rows: DataFrame, k: int, order: list[Column | str], *groups: str) -> DataFrame:
+    """Rows among which the first k of each group are, at most SPREAD * k of a group.
+
+    Each task passes on its first k of a group, and SPREAD tasks a group thin them out again, so that the one that picks
+    the k sees a bounded number of rows however many tasks there were.
+    """
+    some = Window.partitionBy(*groups, "_part").orderBy(*order)
+    rows = rows.withColumn("_part", F.spark_partition_id() % SPREAD).withColumn("_at", F.row_number().over(some))
+    return rows.filter(F.col("_at") <= k).drop("_part", "_at")
+
+
 def uint64s(column: pa.Array) -> np.ndarray:
     return int64s(column).view(np.uint64)
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.llm import words as W
-from riskweave.llm.common import cut_lineage, give_back, held_out
+from riskweave.llm.common import cut_lineage, give_back, held_out, thinned
 
 TRAIN_DOCS = 1000  # training texts of each language, those of the smallest hash of their identifier
 BUCKETS = 1 << 16  # of hashed trigrams
@@ -122,8 +122,9 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, per_language: int = TRAIN_DOCS) -> LanguageModel | None:
     """Learn from rows with a language that are not held out; None if there are none."""
     ids = docs.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).filter(F.col("_lang").isNotNull() & ~held_out(F.col("_id")))
-    rank = F.row_number().over(Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id"))
-    ids = ids.withColumn("_rank", rank).filter(F.col("_rank") <= per_language).select("_id").distinct()
+    order = [F.xxhash64("_id"), "_id"]
+    rank = F.row_number().over(Window.partitionBy("_lang").orderBy(*order))
+    ids = thinned(ids, per_language, order, "_lang").withColumn("_rank", rank).filter(F.col("_rank") <= per_language).select("_id").distinct()
     # bounded: per_language identifiers for each language
     rows = docs.select("doc_id", "lang", F.col("text").cast("string").alias("text")).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     rows = rows.join(F.broadcast(ids), rows["doc_id"].eqNullSafe(ids["_id"]), "left_semi").select("lang", "text")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm import words as W
-from riskweave.llm.common import held_out
+from riskweave.llm.common import held_out, thinned
 
 POSITIVES = 2500  # confirmed texts to learn from, those of the smallest hash of their identifier
 UNLABELLED = 5000
@@ -99,9 +99,9 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
         return None
     prior = float(np.clip(mean, 0.01, 0.99))
     shuffled = [F.xxhash64("_id"), "_id"]
-    chosen = known.filter("_toxic = 1").orderBy(*shuffled).limit(positives).select("_id", F.lit(True).alias("positive"))
+    chosen = thinned(known.filter("_toxic = 1"), positives, shuffled).orderBy(*shuffled).limit(positives).select("_id", F.lit(True).alias("positive"))
     others = docs.select(F.col("doc_id").cast("long").alias("_id")).filter(F.col("_id").isNotNull() & ~held_out(F.col("_id"))).distinct()
-    chosen = chosen.union(others.orderBy(*shuffled).limit(unlabelled).select("_id", F.lit(False).alias("positive")))
+    chosen = chosen.union(thinned(others, unlabelled, shuffled).orderBy(*shuffled).limit(unlabelled).select("_id", F.lit(False).alias("positive")))
     texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").cast("string").alias("text")).filter("text is not null")
     rows = texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("positive", "text")  # bounded: positives + unlabelled identifiers
     found = rows.mapInArrow(_bags, "positive boolean, bag binary").toArrow()
