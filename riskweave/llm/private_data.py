@@ -1,9 +1,10 @@
 """Personal data: fixed patterns, and a skip-chain conditional random field for what they miss.
 
-The field labels the tokens of a text as one of the four kinds or as other. Tokens inside pattern matches are fixed;
-neighbours share a weak potential, tokens that repeat or resemble each other (an address without its host, a number
-written another way) share a strong one however far apart they are. Loopy belief propagation spreads the evidence, so a
-thing is labelled alike wherever it occurs in a document.
+The field labels the tokens of a text as one of the four kinds or as other. Tokens inside pattern matches are evidence and
+take no messages; neighbours share a weak potential. Tokens that repeat or resemble a matched one (an address without its
+host, a number written another way) hear from the nearest such token over a strong link however far away it is, and do not
+answer: a mention without a label of its own is no evidence for being other. Loopy belief propagation spreads the evidence,
+so a thing is labelled alike wherever and however often it occurs in a document.
 """
 
 from __future__ import annotations
@@ -87,7 +88,7 @@ class Field:
     cue: float = 1.0  # of a token behind a word that announces a kind
     shape: float = 1.0  # of a token shaped like a kind
     neighbour: float = 0.3  # of two neighbours with one state
-    skip: float = 4.5  # of two linked distant tokens with one state
+    skip: float = 4.5  # of a token with the state of the distant one that it hears from
     rounds: int = 20
     damping: float = 0.3
 
@@ -96,6 +97,9 @@ class Field:
 CUES = {"email": 1, "e-mail": 1, "mail": 1, "ip": 2, "host": 2, "server": 2, "card": 3, "visa": 3, "phone": 4, "tel": 4, "call": 4, "fax": 4, "mobile": 4}
 
 
+LEAST_PART = 4  # digits of a token by which a number over several tokens is known; fewer (+1, 20) occur anywhere
+
+
 def _resemblance(token: str) -> list[str]:
     """Names under which a token resembles others; words without anything of personal data have none."""
     plain = token.strip(_MARKS).lower()
@@ -113,20 +117,50 @@ def _resemblance(token: str) -> list[str]:
     return out
 
 
-def field_of(text: str, base: list[tuple[str, int, int]], field: Field) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens of a text, their potentials, the links (pairs of tokens), the weight of each link, which tokens are fixed."""
+def skip_links(names: dict[str, list[int]], fixed: np.ndarray) -> list[tuple[int, int]]:
+    """Links (from, to) that lead away from fixed tokens, at most one a name and token.
+
+    A token hears from the nearest fixed one of each of its names. Names without a fixed one lead on from the tokens that were
+    reached before, to those that were not.
+    """
+    known, out = fixed.copy(), []
+    left = {name: np.unique(held) for name, held in names.items()}
+    of_token: dict[int, list[str]] = {}
+    for name, held in left.items():
+        for i in held.tolist():
+            of_token.setdefault(i, []).append(name)
+    turn = [name for name, held in left.items() if known[held].any()]
+    while turn:
+        found = []
+        for name in turn:
+            held = left.pop(name)
+            sources, others = held[known[held]], held[~known[held]]
+            at = np.searchsorted(sources, others)
+            before, behind = sources[np.maximum(at - 1, 0)], sources[np.minimum(at, len(sources) - 1)]
+            nearest = np.where(np.abs(others - before) <= np.abs(behind - others), before, behind)
+            out += zip(nearest.tolist(), others.tolist(), strict=True)
+            found += others.tolist()
+        known[found] = True  # after the turn, so that all names with a fixed token start from those alone
+        turn = list(dict.fromkeys(name for i in found for name in of_token[i] if name in left))
+    return out
+
+
+def field_of(text: str, base: list[tuple[str, int, int]], field: Field) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of a text, their potentials, the links (pairs of tokens), their weights, which lead one way, which tokens are fixed."""
     tokens = [m.span() for m in _TOKEN.finditer(text)]
     unary = np.zeros((len(tokens), len(KINDS) + 1))
     unary[:, 0] = field.other
     starts = np.array([t[0] for t in tokens])
-    fixed = np.zeros(len(tokens), bool)
+    fixed, part = np.zeros(len(tokens), bool), np.zeros(len(tokens), bool)
     names: dict[str, list[int]] = {}
     for kind, lo, hi in base:
         first = max(int(np.searchsorted(starts, lo, side="right")) - 1, 0)
         inside = range(first, int(np.searchsorted(starts, hi, side="left")))
         for i in inside:
+            unary[i, 0] = 0.0
             unary[i, KINDS.index(kind) + 1] += field.fixed
             fixed[i] = True
+            part[i] |= len(inside) > 1
         digits = _NOT_DIGIT.sub("", text[lo:hi])
         if len(digits) >= 7 and len(inside):  # a number over several tokens goes by its first one
             names.setdefault("#" + digits[-7:], []).append(inside[0])
@@ -139,19 +173,22 @@ def field_of(text: str, base: list[tuple[str, int, int]], field: Field) -> tuple
                 unary[i, 1] += field.shape
             elif token.count(".") == 3 and token.strip(_MARKS).replace(".", "").isdigit():
                 unary[i, 2] += field.shape
+        if part[i] and sum(map(str.isdigit, token)) < LEAST_PART:
+            continue
         for name in _resemblance(token):
             names.setdefault(name, []).append(i)
-    links = {(i, i + 1): field.neighbour for i in range(len(tokens) - 1)}
-    for held in names.values():
-        held = sorted(set(held))
-        for a, b in zip(held[:-1], held[1:], strict=True):  # one link to the next place keeps the number of links linear
-            links[a, b] = field.skip
-    pairs = np.array(list(links), np.int64).reshape(-1, 2)
-    return tokens, unary, pairs, np.array(list(links.values())), fixed
+    skips = dict.fromkeys(skip_links(names, fixed))
+    links = [(i, i + 1) for i in range(len(tokens) - 1) if (i, i + 1) not in skips and (i + 1, i) not in skips]
+    pairs = np.array([*links, *skips], np.int64).reshape(-1, 2)
+    one_way = np.arange(len(pairs)) >= len(links)
+    return tokens, unary, pairs, np.where(one_way, field.skip, field.neighbour), one_way, fixed
 
 
-def beliefs(unary: np.ndarray, pairs: np.ndarray, weights: np.ndarray, rounds: int, damping: float) -> np.ndarray:
-    """Log marginals by sum-product message passing, all messages at once; exact where the links form no loop."""
+def beliefs(unary: np.ndarray, pairs: np.ndarray, weights: np.ndarray, rounds: int, damping: float, one_way: np.ndarray | None = None, fixed: np.ndarray | None = None) -> np.ndarray:
+    """Log marginals by sum-product message passing, all messages at once; exact where the links form no loop.
+
+    Links that lead one way carry no message from their second token to their first; fixed tokens receive none.
+    """
     states = unary.shape[1]
     if not len(pairs):
         return unary - np.logaddexp.reduce(unary, axis=1, keepdims=True)
@@ -159,6 +196,11 @@ def beliefs(unary: np.ndarray, pairs: np.ndarray, weights: np.ndarray, rounds: i
     target = np.concatenate([pairs[:, 1], pairs[:, 0]])
     back = np.concatenate([np.arange(len(pairs)) + len(pairs), np.arange(len(pairs))])
     gain = np.expm1(np.concatenate([weights, weights]))[:, None]
+    silent = np.zeros(len(source), bool)
+    if one_way is not None:
+        silent[len(pairs) :] = one_way
+    if fixed is not None:
+        silent |= fixed[target]
     messages = np.zeros((len(source), states))
     for _ in range(rounds):
         belief = unary.copy()
@@ -167,6 +209,7 @@ def beliefs(unary: np.ndarray, pairs: np.ndarray, weights: np.ndarray, rounds: i
         out = np.exp(out - out.max(axis=1, keepdims=True))
         new = np.log(out.sum(axis=1, keepdims=True) + gain * out)  # equal states gain by the weight
         new -= np.logaddexp.reduce(new, axis=1, keepdims=True)
+        new[silent] = 0.0
         change = np.abs(new - messages).max()
         messages = damping * messages + (1 - damping) * new
         if change < 1e-6:
@@ -180,10 +223,10 @@ def added_spans(text: str, base: list[tuple[str, int, int]], field: Field) -> li
     """Tokens that the field labels beside the pattern matches; evidence starts at matches, so without one there are none."""
     if not base:
         return []
-    tokens, unary, pairs, weights, fixed = field_of(text, base, field)
-    if not len(pairs) or not (weights == field.skip).any():
+    tokens, unary, pairs, weights, one_way, fixed = field_of(text, base, field)
+    if not one_way.any():
         return []
-    labels = beliefs(unary, pairs, weights, field.rounds, field.damping).argmax(axis=1)
+    labels = beliefs(unary, pairs, weights, field.rounds, field.damping, one_way, fixed).argmax(axis=1)
     out = []
     for i in np.flatnonzero((labels > 0) & ~fixed):
         lo, hi = tokens[i]

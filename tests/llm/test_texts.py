@@ -211,6 +211,29 @@ def test_distant_mentions_are_labelled_alike():
     assert "jo.smith99" not in private_data.redact(text, spans)
 
 
+@pytest.mark.parametrize("repeats", [1, 2, 3, 10, 50])
+@pytest.mark.parametrize("full", [1, 2])
+def test_every_mention_is_labelled_however_often_it_recurs(repeats, full):
+    gap = " a few words of other things stand in between here "
+    for whole, bare, kind in [("jo.smith99@mail.example.com", "jo.smith99", "email_like"), ("+1 (555) 555-2485", "15555552485", "phone_like")]:
+        for text in (gap.join([whole] * full + [bare] * repeats), gap.join([bare] * repeats + [whole] * full)):
+            base, spans = private_data.all_spans(text)
+            assert len(base) == full
+            assert [(k, text[a:b]) for k, a, b in spans if (k, a, b) not in base] == [(kind, bare)] * repeats
+
+
+def test_short_parts_of_a_number_are_no_mentions():
+    text = "Call +44 20 7946 0958 now. " + "There are 20 of them and +1 more at 7946. " * 5
+    base, spans = private_data.all_spans(text)
+    assert {text[a:b] for k, a, b in spans if (k, a, b) not in base} == {"7946"}
+
+
+def test_links_lead_away_from_fixed_tokens():
+    fixed = np.array([False, True, False, False, True, False, False])
+    names = {"a": [0, 1, 2, 4, 5], "b": [5, 6], "c": [3]}
+    assert sorted(private_data.skip_links(names, fixed)) == [(1, 0), (1, 2), (4, 5), (5, 6)]
+
+
 def test_beliefs_are_exact_without_loops():
     rng = np.random.default_rng(0)
     unary = rng.normal(size=(4, 3))
