@@ -47,6 +47,38 @@ def test_schedule_stays_within_a_block_of_the_weights(sizes):
                 assert abs(np.searchsorted(taken, t) - share * t) < 1
 
 
+@pytest.mark.parametrize("n", [5, 20, 100, 1000])
+def test_a_heavy_source_gets_its_target_weight(n):
+    blocks, weights = {"hot": 4000} | {f"s{i}": 4000 for i in range(n - 1)}, {"hot": n - 1} | {f"s{i}": 1 for i in range(n - 1)}
+    taken, total = Counter(), sum(weights.values())
+    for t, (s, j) in zip(range(1, 4001), mixing.schedule(mixing.Fluid(blocks, weights))):
+        assert j == taken[s]
+        taken[s] += 1
+        assert abs(taken["hot"] - t * weights["hot"] / total) < 1
+        if t % 500 == 0:
+            assert all(abs(taken[s] - t * w / total) < 1 for s, w in weights.items())
+
+
+def test_schedule_stays_within_a_block_of_the_weights_while_sources_run_dry():
+    rng = np.random.default_rng(4)
+    blocks = {"hot": 400} | {f"s{i:03}": int(rng.integers(1, 9)) for i in range(150)}
+    weights = {"hot": 60.0} | {s: float(rng.choice([0.1, 1.0, 2.5])) for s in blocks if s != "hot"}
+    order = list(mixing.schedule(mixing.Fluid(blocks, weights)))
+    assert sorted(order) == sorted((s, j) for s, n in blocks.items() for j in range(n))
+    taken, wanted = Counter(), dict.fromkeys(blocks, 0.0)
+    for s, _ in order:
+        left = 1.0  # of the slot; a source may run dry inside it
+        while left > 1e-9:
+            rate = sum(weights[x] for x in blocks if wanted[x] < blocks[x] - 1e-9)
+            step = min([left, *((blocks[x] - wanted[x]) * rate / weights[x] for x in blocks if wanted[x] < blocks[x] - 1e-9)])
+            for x in blocks:
+                if wanted[x] < blocks[x] - 1e-9:
+                    wanted[x] += step * weights[x] / rate
+            left -= step
+        taken[s] += 1
+        assert all(abs(taken[x] - wanted[x]) < 1 + 1e-6 for x in blocks)
+
+
 def test_every_document_has_a_place(documents):
     rows = [(i, "t", "en", ["big", "big", "small", None][i % 4]) for i in range(300)] + [(None, None, None, None)]
     found = mixing.mix(documents(rows), block=8, slots=20).collect()
