@@ -27,7 +27,6 @@ from riskweave.llm.common import cut_lineage
 BLOCK = 64  # documents
 SLOTS = 1000  # that the task of the schedule hands on together
 TEMPERATURE = 0.5  # weights follow the size of a source to this power unless given
-SOURCES = 10_000  # sources that a mixture may have
 BROADCAST_PLACES = 500_000  # places (16 bytes each) that may be broadcast to the texts; beyond that Spark joins by shuffle
 BUCKET_ROWS = 20_000  # rows that are numbered together
 
@@ -128,8 +127,6 @@ def _numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = rows.withColumn("bucket", F.floor((F.col("h").cast("double") / 2.0**64 + 0.5) * buckets).cast("long"))
     sizes = cut_lineage(rows.groupBy("source", "bucket").count())
     totals = sizes.groupBy("source").agg(F.sum("count").alias("n"))
-    if totals.count() > SOURCES:
-        raise ValueError(f"more than {SOURCES} sources; give them in groups")
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("before", F.coalesce(F.sum("count").over(before), F.lit(0).cast("long"))).drop("count")
     inside = Window.partitionBy("source", "bucket").orderBy("h", "doc_id")

@@ -93,6 +93,15 @@ def test_every_document_has_a_place(documents):
     assert mixing.mix(documents([])).collect() == []
 
 
+def test_more_sources_than_fit_a_plan(documents):
+    n = 10_500
+    rows = [(i, "t", "en", f"site{i % n}") for i in range(2 * n)] + [(2 * n + i, "t", "en", "hot") for i in range(3000)]
+    found = mixing.mix(documents(rows, clashing=False), weights={"hot": float(n)} | {f"site{i}": 1.0 for i in range(n)}, block=1).collect()
+    assert sorted(r.position for r in found) == list(range(len(rows)))
+    assert Counter((r.doc_id, r.source) for r in found) == Counter((r[0], r[3]) for r in rows)
+    assert sum(r.source == "hot" for r in found if r.position < 2000) == 1000
+
+
 # -- archives
 
 
