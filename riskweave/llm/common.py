@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from riskweave import session
 from riskweave.session import new_path
 
-__all__ = ["components", "crc_mod_4", "cut_lineage", "filesystem", "give_back", "held_out", "in_runs", "int64s", "new_path", "settings", "table", "task_batches", "thinned", "uint64s"]
+__all__ = ["components", "crc_mod_4", "cut_lineage", "filesystem", "give_back", "held_out", "in_runs", "int64s", "new_path", "settings", "table", "task_batches", "thinned", "thinning", "uint64s"]
 
 #: rows and bytes of an Arrow batch handed to Python, which JVM and worker both hold; a single longer text is a batch of its own
 BATCH_ROWS = 2000
@@ -70,13 +70,20 @@ def thinned(rows: DataFrame, k: int, order: list[Column | str], *groups: str) ->
     """Rows among which the first k of each group are, at most SPREAD * k of a group.
 
     Each task passes on its first k of a group, and SPREAD tasks a group thin them out again, so that the one that picks
-    the k sees a bounded number of rows however many tasks there were.
+    the k sees a bounded number of rows however many tasks there were. Run it inside `thinning`: beyond a limit of Spark's own
+    each task would pass on all its rows.
     """
     some = Window.partitionBy(*groups, "_part").orderBy(*order)
     rows = rows.withColumn("_part", F.spark_partition_id() % SPREAD).withColumn("_at", F.row_number().over(some))
     return rows.filter(F.col("_at") <= k).drop("_part", "_at")
 
 
+def thinning(spark: SparkSession, k: int):
+    """Inside, tasks thin rows out before they are shuffled for any number of rows up to k."""
+    name = "spark.sql.optimizer.windowGroupLimitThreshold"
+    return settings(spark, **{name.replace(".", "__"): str(max(k, int(spark.conf.get(name))))})
+
+
 def uint64s(column: pa.Array) -> np.ndarray:
     return int64s(column).view(np.uint64)
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm import words as W
-from riskweave.llm.common import held_out, thinned
+from riskweave.llm.common import held_out, thinned, thinning
 
 POSITIVES = 2500  # confirmed texts to learn from, those of the smallest hash of their identifier
 UNLABELLED = 5000
@@ -104,7 +104,8 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
     chosen = chosen.union(thinned(others, unlabelled, shuffled).orderBy(*shuffled).limit(unlabelled).select("_id", F.lit(False).alias("positive")))
     texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").cast("string").alias("text")).filter("text is not null")
     rows = texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("positive", "text")  # bounded: positives + unlabelled identifiers
-    found = rows.mapInArrow(_bags, "positive boolean, bag binary").toArrow()
+    with thinning(docs.sparkSession, max(positives, unlabelled)):
+        found = rows.mapInArrow(_bags, "positive boolean, bag binary").toArrow()
     if not found.num_rows:
         return None
     positive = found.column("positive").to_numpy()

@@ -250,6 +250,22 @@ def test_toxicity_on_held_out_texts(spark, documents):
     assert toxicity.toxicity(documents([]), table).collect() == []
 
 
+def test_tasks_pass_on_no_more_learning_rows_than_are_picked(spark, documents, monkeypatch):
+    docs, plans = documents([(i, f"word{i % 7} idiot") for i in range(50)]), []
+    frame = type(docs)
+
+    def seen(self, whole=frame.toArrow):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return whole(self)
+
+    monkeypatch.setattr(frame, "toArrow", seen)
+    before = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
+    toxicity.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int"))
+    for k in (toxicity.POSITIVES, toxicity.UNLABELLED):
+        assert re.search(rf"WindowGroupLimit .*, {k}, Partial", plans[0])
+    assert spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold") == before
+
+
 def test_risk_does_not_go_negative():
     rows, columns = np.array([0, 1, 2, 3]), np.array([0, 0, 1, 1])
     weights, _ = toxicity.nnpu(rows, columns, np.array([True, False, False, False]), 2, 0.3)
