@@ -104,6 +104,16 @@ def test_louvain_beats_components(spark):
     assert len({groups[x] for x in blocks[0]}) == 1
 
 
+def test_louvain_does_not_end_unfinished(spark):
+    edges = spark.createDataFrame([(f"{c}{i}", f"{c}{j}") for c in "abc" for i in range(4) for j in range(i)] + [("a0", "b0"), ("b1", "c1")], "src string, dst string")
+    nodes = edges.select(N.F.col("src").alias("id")).union(edges.select("dst")).distinct()
+    for limits in ({"max_rounds": 1}, {"max_levels": 1}):
+        with pytest.raises(RuntimeError, match="still change"):
+            N.louvain(nodes, edges, **limits)
+    defaults = N.louvain.__defaults__
+    assert N.louvain(nodes, edges).count() == 12 and min(defaults[:2]) >= 100
+
+
 def test_neighbour_risk_counts_companies_only(spark):
     nodes = spark.createDataFrame([("a", "Company", 80.0), ("b", "Company", 20.0), ("c", "Company", 0.0), ("x", "Auditor", 0.0), ("z", "Company", 9.0)], "id string, node_type string, ml_risk_score double")
     edges = spark.createDataFrame([("a", "b", "P"), ("b", "a", "P"), ("a", "b", "C"), ("c", "b", "P"), ("a", "x", "AUDITED_BY")], "src string, dst string, edge_type string")
