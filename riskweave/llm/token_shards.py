@@ -2,7 +2,8 @@
 
 A shard is three files: raw little-endian ids (`.ids`, two bytes each while the vocabulary allows), the index (`.idx`)
 and nothing else to read a document by its key: the index gives its slot in constant time (one displacement, one record),
-the record's stored fingerprint tells whether the key is there, and the id slice is range-read.
+the record's stored fingerprint tells whether the key is there, and the id slice is range-read. Which shard holds a key is
+found the same way: keys are dealt by hash to buckets, each a file with a perfect hash of its own (`keys/*.idx`).
 """
 
 from __future__ import annotations
@@ -16,11 +17,12 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.llm import words as W
-from riskweave.llm.common import cut_lineage, filesystem, give_back, new_path
+from riskweave.llm.common import cut_lineage, filesystem, give_back, in_runs, new_path
 
 END_ID = 2
 MAGIC = b"RWTOKIX1"
@@ -31,6 +33,7 @@ _ENCODE = 5_000  # words given to the tokenizer at once
 SHARD_ROWS = 5_000  # about as many documents to a shard
 
 _RECORD = np.dtype([("fingerprint", "<u8"), ("doc_id", "<i8"), ("named", "u1"), ("first", "<i8"), ("count", "<i8")])
+_KEY = np.dtype([("fingerprint", "<u8"), ("doc_id", "<i8"), ("named", "u1"), ("shard", "S48"), ("copies", "<i8")])
 
 
 # -- minimal perfect hash -------------------------------------------------------------------------
@@ -295,14 +298,70 @@ def write_shards(docs: DataFrame, tokenizer: str, order: list[str] | None = None
     if shards is None:
         shards = max(spark.sparkContext.defaultParallelism, -(-docs.count() // SHARD_ROWS))
     folder = new_path(spark, "tokens")
-    filesystem_root(folder)
+    filesystem_root(f"{folder}/keys")
     rows = docs.select(*dict.fromkeys(["doc_id", "text", *keys])).withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
     placed = rows.repartitionByRange(shards, *keys).sortWithinPartitions(*keys).select("doc_id", "text")
     manifest = cut_lineage(placed.mapInArrow(_write(folder, tokenizer, end), _MANIFEST))
+    _write_keys(manifest, folder)
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row a shard
     return manifest.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0).cast("long")))
 
 
+def _key_bucket(h: np.ndarray, buckets: int) -> np.ndarray:
+    return (W.mix(h) % np.uint64(buckets)).astype(np.int64)
+
+
+def _keys(buckets: int):
+    """A row for each identifier of a shard, with the bucket of its key and the number of its rows there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                fs, path = filesystem(path)
+                with fs.open_input_file(f"{path}.idx") as f:
+                    records = ShardIndex(f.read()).records
+                keys, copies = np.unique(records[["named", "doc_id"]], return_counts=True)
+                doc_ids, named = keys["doc_id"].astype(np.int64), keys["named"].astype(bool)
+                bucket = _key_bucket(key_hashes(doc_ids, named, np.zeros(len(keys), np.int64)), buckets)
+                shard = pa.array([path.rsplit("/", 1)[1]] * len(keys), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(doc_ids), pa.array(named), shard, pa.array(copies.astype(np.int64))], names=["bucket", "doc_id", "named", "shard", "copies"])
+
+    return run
+
+
+def _write_buckets(folder: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = filesystem(folder)
+        for rows in in_runs(batches, ["bucket"]):
+            doc_ids, named = rows.column("doc_id").to_numpy(), rows.column("named").to_numpy()
+            h = key_hashes(doc_ids, named, _copies(doc_ids, named))  # shards that hold one identifier are numbered in order
+            displacements = build_hash(h)
+            slot = _slot(h, displacements[_bucket(h, len(displacements))], len(h))
+            records = np.zeros(len(h), _KEY)
+            for name, values in (("fingerprint", h), ("doc_id", doc_ids), ("named", named), ("shard", rows.column("shard").to_pylist()), ("copies", rows.column("copies").to_numpy())):
+                records[name][slot] = values
+            bucket = rows.column("bucket")[0].as_py()
+            with fs.open_output_stream(f"{root}/keys/{bucket:06d}.idx") as f:  # a repeated attempt writes the same bytes
+                f.write(ShardIndex.to_bytes(displacements, records, 0))
+            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([len(h)], pa.int64())], names=["bucket", "n"])
+
+    return run
+
+
+def _write_keys(manifest: DataFrame, folder: str) -> None:
+    """The index from keys to shards: as many buckets as shards, so that a bucket stays as small as a shard's index.
+
+    An identifier has a key for each shard that it lies in, whatever the number of its rows there.
+    """
+    buckets = max(1, manifest.count())
+    rows = manifest.select("path").repartition(buckets, "path").mapInArrow(_keys(buckets), "bucket long, doc_id long, named boolean, shard string, copies long")
+    dealt = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "named", "doc_id", "shard")
+    dealt.mapInArrow(_write_buckets(folder), "bucket long, n long").agg(F.sum("n")).collect()
+    fs, root = filesystem(folder)
+    with fs.open_output_stream(f"{root}/keys/buckets") as f:
+        f.write(struct.pack("<q", buckets))
+
+
 def filesystem_root(folder: str) -> None:
     fs, path = filesystem(folder)
     fs.create_dir(path, recursive=True)
@@ -353,11 +412,15 @@ def read_shards(manifest: DataFrame) -> DataFrame:
     return rows.mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def look_up(path: str, doc_id: int | None, copy: int = 0) -> np.ndarray | None:
-    """Ids of one document of a shard by its key: two range reads of the index, one of the ids; None if absent."""
-    fs, path = filesystem(path)
-    h = key_hashes(np.array([doc_id or 0], np.int64), np.array([doc_id is not None]), np.array([copy]))
-    with fs.open_input_file(f"{path}.idx") as f:
+def _hash_of(doc_id: int | None, copy: int) -> np.ndarray:
+    return key_hashes(np.array([doc_id or 0], np.int64), np.array([doc_id is not None]), np.array([copy]))
+
+
+def _record(fs: pafs.FileSystem, path: str, h: np.ndarray, kind: np.dtype):
+    """The record of a key hash in an index and the width of the ids, by two range reads; None if absent."""
+    if fs.get_file_info(path).type == pafs.FileType.NotFound:
+        return None
+    with fs.open_input_file(path) as f:
         head = f.read(32)
         if head[:8] != MAGIC:
             raise ValueError("not a token index")
@@ -366,10 +429,34 @@ def look_up(path: str, doc_id: int | None, copy: int = 0) -> np.ndarray | None:
             return None
         f.seek(32 + 4 * int(_bucket(h, buckets)[0]))
         displacement = np.frombuffer(f.read(4), "<u4")
-        f.seek(32 + 4 * buckets + _RECORD.itemsize * int(_slot(h, displacement, n)[0]))
-        record = np.frombuffer(f.read(_RECORD.itemsize), _RECORD)[0]
-    if record["fingerprint"] != h[0]:
+        f.seek(32 + 4 * buckets + kind.itemsize * int(_slot(h, displacement, n)[0]))
+        record = np.frombuffer(f.read(kind.itemsize), kind)[0]
+    return (record, width) if record["fingerprint"] == h[0] else None
+
+
+def look_up(path: str, doc_id: int | None, copy: int = 0) -> np.ndarray | None:
+    """Ids of one document by its key, from a shard or from the folder of all shards; None if absent.
+
+    A shard takes two range reads of its index and one of the ids. In a folder the key's bucket, read likewise, names the
+    shard; a `copy` of an identifier that lies in several shards is counted through them.
+    """
+    fs, path = filesystem(path)
+    if fs.get_file_info(path).type == pafs.FileType.Directory:
+        with fs.open_input_file(f"{path}/keys/buckets") as f:
+            buckets = struct.unpack("<q", f.read())[0]
+        bucket = int(_key_bucket(_hash_of(doc_id, 0), buckets)[0])
+        turn = 0
+        while (found := _record(fs, f"{path}/keys/{bucket:06d}.idx", _hash_of(doc_id, turn), _KEY)) is not None:
+            key = found[0]
+            if copy < key["copies"]:
+                return look_up(f"{path}/{key['shard'].decode()}", doc_id, copy)
+            copy -= int(key["copies"])
+            turn += 1
+        return None
+    found = _record(fs, f"{path}.idx", _hash_of(doc_id, copy), _RECORD)
+    if found is None:
         return None
+    record, width = found
     with fs.open_input_file(f"{path}.ids") as f:
         f.seek(int(record["first"]) * width)
         return np.frombuffer(f.read(int(record["count"]) * width), f"<u{width}").astype(np.uint32)

@@ -316,6 +316,31 @@ def test_token_files_round_trip(documents):
     assert token_shards.read_shards(token_shards.write_shards(documents([]), TOKENIZER)).collect() == []
 
 
+def test_a_key_is_found_without_probing_the_shards(documents, monkeypatch):
+    rows = [(None, "nothing"), *[(7 * i - 50, f"Text {i}, again.") for i in range(300)], *[(2, f"copy {i}") for i in range(200)]]
+    manifest = token_shards.write_shards(documents(rows), TOKENIZER, order=["text"], shards=6)
+    paths = [r.path for r in manifest.collect()]
+    folder = os.path.dirname(paths[0])
+    tokenizer, opened = Tokenizer.from_file(TOKENIZER), []
+
+    def ids(text):
+        return [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+
+    def seen(fs, path, h, kind, record=token_shards._record):
+        opened.append(path)
+        return record(fs, path, h, kind)
+
+    monkeypatch.setattr(token_shards, "_record", seen)
+    for doc_id, text in rows[:301]:
+        opened.clear()
+        assert token_shards.look_up(folder, doc_id).tolist() == ids(text)
+        assert len(opened) == 2  # the key's bucket and its shard
+    assert token_shards.look_up(folder, 12345) is None
+    copies = [token_shards.look_up(folder, 2, c).tolist() for c in range(200)]
+    assert sorted(copies) == sorted(ids(t) for d, t in rows if d == 2) and token_shards.look_up(folder, 2, 200) is None
+    assert len(os.listdir(f"{folder}/keys")) <= len(paths) + 1
+
+
 # -- the pipeline
 
 
