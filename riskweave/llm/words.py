@@ -73,6 +73,13 @@ def _buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets, (np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8))
 
 
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds of the texts (one more than texts, from 0) and their bytes; a null is empty."""
+    offsets, data = _buffers(column)
+    lo, hi = (int(offsets[0]), int(offsets[-1])) if len(offsets) else (0, 0)
+    return offsets - lo, data[lo:hi]
+
+
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of at most `limit` bytes of text, or of one row."""
     if not len(column):
@@ -168,3 +175,21 @@ def winnow_runs(h: np.ndarray, fits: np.ndarray, window: int) -> tuple[np.ndarra
     first = np.flatnonzero(np.diff(winner, prepend=-1))
     last = np.append(first[1:], len(runs)) - 1 if len(first) else first
     return winner[first], runs[first], runs[last]
+
+
+def join_kept(words: Words, kept: np.ndarray) -> pa.Array:
+    """Of each text, the words marked in `kept` (one flag a word), joined by one space."""
+    which = np.flatnonzero(kept)
+    text = words.text_of_word()[which]
+    final = np.ones(len(which), bool)
+    final[:-1] = text[1:] != text[:-1]
+    data = words.data.copy()
+    data[words.end[which[~final]]] = 0x20  # a word that is not the last of its text has a byte of space behind it
+    stop = words.end[which] + ~final
+    edges = np.zeros(len(data) + 1, np.int8)
+    edges[words.start[which]] += 1
+    np.subtract.at(edges, stop, 1)
+    sizes = np.bincount(text, weights=stop - words.start[which], minlength=len(words.first) - 1).astype(np.int64)
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    joined = data[np.cumsum(edges, dtype=np.int8)[:-1].astype(bool)]
+    return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(joined)).cast(pa.string())
