@@ -9,10 +9,11 @@ found the same way: keys are dealt by hash to buckets, each a file with a perfec
 from __future__ import annotations
 
 import json
+import os
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -28,8 +29,9 @@ END_ID = 2
 MAGIC = b"RWTOKIX1"
 BUCKET_KEYS = 4  # mean keys of one displacement
 READ_BYTES = 8 << 20
-CACHE_WORDS = 500_000  # distinct words whose ids one worker keeps
+CACHE_WORDS = 600_000  # distinct words of each of the two stores of a worker
 _ENCODE = 5_000  # words given to the tokenizer at once
+_JOIN = 1_000  # words of letters joined to one text
 SHARD_ROWS = 5_000  # about as many documents to a shard
 
 _RECORD = np.dtype([("fingerprint", "<u8"), ("doc_id", "<i8"), ("named", "u1"), ("first", "<i8"), ("count", "<i8")])
@@ -122,69 +124,115 @@ class ShardIndex:
 # -- encoding -------------------------------------------------------------------------------------
 
 
+class WordStore:
+    """Ids of words by the hash of the word."""
+
+    def __init__(self):
+        self.known = np.zeros(0, np.uint64)  # sorted hashes
+        self.bounds = np.zeros((0, 2), np.int64)  # of each, in the ids
+        self.ids = np.zeros(0, np.uint32)
+
+    def add(self, hashes: np.ndarray, flat: np.ndarray, bounds: np.ndarray) -> None:
+        """Further words, by ascending hash."""
+        known = np.concatenate([self.known, hashes])
+        order = np.argsort(known, kind="stable")  # merges two sorted runs
+        self.known, self.bounds = known[order], np.concatenate([self.bounds, bounds + len(self.ids)])[order]
+        self.ids = np.concatenate([self.ids, flat])
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each hash, and whether it is there."""
+        if not len(self.known):
+            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        return at, self.known[at] == hashes
+
+
 class WordEncoder:
     """Ids of whole texts by a tokenizer that drops white space, from the ids of their words.
 
-    Words end at ASCII white space, where this kind of tokenizer always splits, and before closing full stops and commas
-    that follow an ASCII letter. Ids of words are kept by hash between texts, so a word is encoded once. Texts that may
-    hold a special token are encoded whole. `check` compares with the tokenizer itself.
+    Words end at ASCII white space, where this kind of tokenizer always splits, and before closing punctuation that follows
+    an ASCII letter; a tokenizer that lower-cases gets them so. Ids of words are kept by hash between texts, so a word is encoded once; of two stores of
+    words the newer one fills up with all that are met, and then takes the place of the older one. Texts that may hold a
+    special token are encoded whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self.drops_space = "\\s" in json.dumps(json.loads(self.tokenizer.to_str())["pre_tokenizer"]) and '"Removed"' in json.dumps(json.loads(self.tokenizer.to_str())["pre_tokenizer"])
-        self.clear()
-
-    def clear(self) -> None:
-        self.known = np.zeros(0, np.uint64)  # sorted hashes
-        self.bounds = np.zeros((0, 2), np.int64)  # of each, in the store
-        self.store = np.zeros(0, np.uint32)
+        spec = json.loads(self.tokenizer.to_str())
+        splits = json.dumps(spec["pre_tokenizer"])
+        self.drops_space = "\\s" in splits and '"Removed"' in splits
+        self.lowers = '"Lowercase"' in json.dumps(spec["normalizer"])
+        suffix = spec["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a piece of text between splits
+        if suffix:
+            self.ends_word[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self.newer, self.older = WordStore(), WordStore()
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _learn(self, hashes: np.ndarray, raw: list[bytes]) -> None:
-        if len(self.known) + len(hashes) > CACHE_WORDS:
-            self.clear()
+    def _each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words one after another, and how many each has."""
         ids: list[list[int]] = []
-        for i in range(0, len(raw), _ENCODE):
-            ids += [e.ids for e in self.tokenizer.encode_batch_fast([r.decode("utf-8") for r in raw[i : i + _ENCODE]], add_special_tokens=False)]
+        for i in range(0, len(words), _ENCODE):
+            ids += [e.ids for e in self.tokenizer.encode_batch_fast(words[i : i + _ENCODE], add_special_tokens=False)]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
-        stop = len(self.store) + np.cumsum(sizes)
-        known = np.concatenate([self.known, hashes])
-        bounds = np.concatenate([self.bounds, np.stack([stop - sizes, stop], axis=1)])
-        order = np.argsort(known, kind="stable")
-        self.known, self.bounds, self.store = known[order], bounds[order], np.concatenate([self.store, flat])
+        return np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum())), sizes
 
-    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(self.known):
-            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
-        return at, self.known[at] == hashes
+    def _joined(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """As `_each` for words of letters, from many in one text; told apart by the ids that end a piece.
+
+        Each word has one such id or more; if there are as many in all as words, each has one.
+        """
+        for i in range(0, len(words), _JOIN):
+            part = words[i : i + _JOIN]
+            flat = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.ends_word[flat])
+            yield (flat, np.diff(ends, prepend=-1)) if len(ends) == len(part) else self._each(part)
+
+    def _learn(self, hashes: np.ndarray, raw: list[bytes]) -> None:
+        words = [r.decode("utf-8") for r in raw]
+        letters = np.array([w.isalpha() for w in words], bool) & bool(self.ends_word.any() and self.drops_space)
+        order = np.concatenate([np.flatnonzero(letters), np.flatnonzero(~letters)])
+        found = [*self._joined([words[i] for i in np.flatnonzero(letters)]), self._each([words[i] for i in np.flatnonzero(~letters)])]
+        sizes = np.concatenate([f[1] for f in found])
+        bounds = np.empty((len(words), 2), np.int64)
+        bounds[order, 1] = np.cumsum(sizes)
+        bounds[order, 0] = bounds[order, 1] - sizes
+        self.newer.add(hashes, np.concatenate([f[0] for f in found]), bounds)
+
+    def _places(self, hashes: np.ndarray, raw: Callable[[np.ndarray], list[bytes]]) -> np.ndarray:
+        """Where the newer store has the ids of words, given by ascending hash; those it lacks are taken over or learned."""
+        if len(self.newer.known) + len(hashes) > CACHE_WORDS:
+            self.older, self.newer = self.newer, WordStore()
+        _, there = self.newer.find(hashes)
+        lacking = np.flatnonzero(~there)
+        at, old = self.older.find(hashes[lacking])
+        if old.any():
+            bounds = self.older.bounds[at[old]]
+            sizes = bounds[:, 1] - bounds[:, 0]
+            stop = np.cumsum(sizes)
+            self.newer.add(hashes[lacking[old]], self.older.ids[np.arange(sizes.sum()) - np.repeat(stop - sizes - bounds[:, 0], sizes)], np.stack([stop - sizes, stop], axis=1))
+        new = lacking[~old]
+        if len(new):
+            self._learn(hashes[new], raw(new))
+        return self.newer.bounds[self.newer.find(hashes)[0]]
 
     def encode(self, column: pa.Array, end: int | None = END_ID) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(ids one after another, ids of each text) for slices of the column; null is empty."""
         for lo, hi in W.slices(column):
             part = column[lo:hi]
-            words = split_punctuation(W.cut(part, W.NOT_SPACE, lower=False))
+            words = split_punctuation(W.cut(part, W.NOT_SPACE, lower=self.lowers))
             distinct, first, back = np.unique(words.hash, return_index=True, return_inverse=True)
-            at, there = self._find(distinct)
-            new = np.flatnonzero(~there)
-            if len(new):
-                self._learn(distinct[new], [words.raw(i) for i in first[new].tolist()])
-                at, there = self._find(distinct)
-                if not there.all():  # the store was emptied on the way
-                    again = np.flatnonzero(~there)
-                    self._learn(distinct[again], [words.raw(i) for i in first[again].tolist()])
-                    at, _ = self._find(distinct)
-            bounds = self.bounds[at][back]
+            bounds = self._places(distinct, lambda new: [words.raw(i) for i in first[new].tolist()])[back]
             sizes = bounds[:, 1] - bounds[:, 0]
             before = np.concatenate([[0], np.cumsum(sizes)])
             spot = np.arange(before[-1]) - np.repeat(before[:-1] - bounds[:, 0], sizes)
-            flat = self.store[spot]
+            flat = self.newer.ids[spot]
             cuts = before[words.first]
             special = words.data.tobytes().find(b"<|") >= 0
             if special or not self.drops_space or end is not None:
@@ -203,13 +251,13 @@ class WordEncoder:
 
 
 _STOPS = np.zeros(256, bool)
-_STOPS[[0x2C, 0x2E]] = True
+_STOPS[list(b".,;:!?*#$%&")] = True
 _ASCII_LETTER = W.LETTERS & (np.arange(256) < 0x80)
 _ASCII_LETTER[0x41:0x5B] = True
 
 
 def split_punctuation(words: W.Words) -> W.Words:
-    """Words cut before the full stops and commas that end them, where an ASCII letter stands before these."""
+    """Words cut before the punctuation marks that end them, where an ASCII letter stands before these."""
     stop = words.end.copy()
     live = np.arange(len(stop))
     while len(live):  # as often as the longest run of closing marks
@@ -222,8 +270,11 @@ def split_punctuation(words: W.Words) -> W.Words:
     head_end[cut] = stop[cut]
     start = np.insert(words.start, cut + 1, stop[cut])
     end = np.insert(head_end, cut + 1, words.end[cut])
+    hashes = words.hash.copy()
+    hashes[cut] = W.hash_words(words.data, words.start[cut], stop[cut])
+    hashes = np.insert(hashes, cut + 1, W.hash_words(words.data, stop[cut], words.end[cut]))
     added = np.concatenate([[0], np.cumsum(np.bincount(cut, minlength=len(words.start)))])
-    return W.Words(words.data, start, end, words.first + added[words.first], W.hash_words(words.data, start, end))
+    return W.Words(words.data, start, end, words.first + added[words.first], hashes)
 
 
 @cache

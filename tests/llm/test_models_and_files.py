@@ -285,7 +285,7 @@ def test_perfect_hash_sends_keys_to_slots():
 
 def test_encoder_like_the_tokenizer():
     rng = np.random.default_rng(3)
-    parts = ["a", "B", "'s", "'", ".", ",", " ", "é", "é", "1", "\n", "\xa0", "–", "<|endoftext|>", "<|", "İ", "Σ", "\x1c", "don't", ".,", "日本", "‍"]
+    parts = ["a", "B", "'s", "'", ".", ",", " ", "é", "é", "1", "\n", "\xa0", "–", "<|endoftext|>", "<|", "İ", "Σ", "\x1c", "don't", ".,", "日本", "‍", "!!", "$$", "&", "*", "?;", "<|ENDOFTEXT|>", "\u0301"]
     texts = ["".join(rng.choice(parts, rng.integers(0, 14))) for _ in range(3000)] + [None, "", "x" * 50_000]
     tokenizer = Tokenizer.from_file(TOKENIZER)
     encoder, got = token_shards.WordEncoder(TOKENIZER), []
