@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from riskweave import session
 from riskweave.session import new_path
 
-__all__ = ["components", "crc_mod_4", "cut_lineage", "filesystem", "give_back", "held_out", "in_runs", "int64s", "new_path", "settings", "table", "task_batches", "thinned", "thinning", "uint64s"]
+__all__ = ["components", "crc_mod_4", "cut_lineage", "filesystem", "free_names", "give_back", "held_out", "in_runs", "int64s", "new_path", "settings", "table", "task_batches", "thinned", "thinning", "uint64s"]
 
 #: rows and bytes of an Arrow batch handed to Python, which JVM and worker both hold; a single longer text is a batch of its own
 BATCH_ROWS = 2000
@@ -57,6 +57,17 @@ def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri.removeprefix("file:"))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names as given, with lines before them as far as `df` has such columns (Spark does not tell upper from lower case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def crc_mod_4(key: Column) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % 4
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.llm import words as W
-from riskweave.llm.common import cut_lineage, give_back, held_out, thinned
+from riskweave.llm.common import give_back, held_out, thinned
 
 TRAIN_DOCS = 1000  # training texts of each language, those of the smallest hash of their identifier
 BUCKETS = 1 << 16  # of hashed trigrams
@@ -210,46 +210,57 @@ def viterbi(scores: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
 _SPAN = pa.struct([("lo", pa.int64()), ("hi", pa.int64()), ("lang", pa.string())])
 
 
+def _labels(column: pa.Array, model: LanguageModel, switch: float) -> Iterator[tuple[int, int, list[str], np.ndarray, list[list[dict]]]]:
+    """(first row, row behind, languages, scores, spans) of texts, slice by slice."""
+    for lo, hi in W.slices(column, SLICE):
+        part = column[lo:hi]
+        words = _cut(part)
+        scores = word_scores(words, model)
+        best, sure = _one_language(scores, words.first, switch)
+        path = np.repeat(best, words.counts)
+        text = words.text_of_word()
+        unsure = np.flatnonzero(~sure)
+        if len(unsure):
+            mine = ~sure[text]
+            path[mine] = viterbi(scores[mine], np.concatenate([[0], np.cumsum(words.counts[unsure])]), switch)
+        sizes = (words.end - words.start).astype(np.float64)
+        width = len(model.languages)
+        letters = np.bincount(text * width + path, weights=sizes, minlength=(hi - lo) * width).reshape(-1, width)
+        total = np.zeros((hi - lo, width))
+        np.add.at(total, text, scores)
+        weight = np.exp(total - total.max(axis=1, keepdims=True))
+        chosen = letters.argmax(axis=1)
+        rows = np.arange(hi - lo)
+        share = letters[rows, chosen] / np.maximum(letters.sum(axis=1), 1)
+        sure_of = weight[rows, chosen] / weight.sum(axis=1)
+        bounds = np.flatnonzero(np.diff(path, prepend=-1) | np.diff(text, prepend=-1))  # none in a slice without words
+        spans: list[list[dict]] = [[] for _ in range(hi - lo)]
+        for a, b in zip(bounds.tolist(), np.append(bounds, len(path))[1:].tolist(), strict=True):
+            t = int(text[a])
+            spans[t].append({"lo": a - int(words.first[t]), "hi": b - int(words.first[t]), "lang": model.languages[int(path[a])]})
+        lettered = [any(map(str.isalpha, t)) if n and t else False for t, n in zip(part.to_pylist(), words.counts, strict=True)]
+        named = [model.languages[c] if ok else UNKNOWN for c, ok in zip(chosen.tolist(), lettered, strict=True)]
+        score = np.where(lettered, share * np.maximum(sure_of, 1 / width) if width > 1 else share, 0.0)
+        yield lo, hi, named, score, [s if ok else [] for s, ok in zip(spans, lettered, strict=True)]
+
+
 def _label(shared, switch: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
-            for lo, hi in W.slices(batch.column("text"), SLICE):
-                column = batch.column("text")[lo:hi]
-                words = _cut(column)
-                scores = word_scores(words, model)
-                best, sure = _one_language(scores, words.first, switch)
-                path = np.repeat(best, words.counts)
-                text = words.text_of_word()
-                unsure = np.flatnonzero(~sure)
-                if len(unsure):
-                    mine = ~sure[text]
-                    path[mine] = viterbi(scores[mine], np.concatenate([[0], np.cumsum(words.counts[unsure])]), switch)
-                sizes = (words.end - words.start).astype(np.float64)
-                width = len(model.languages)
-                letters = np.bincount(text * width + path, weights=sizes, minlength=(hi - lo) * width).reshape(-1, width)
-                total = np.zeros((hi - lo, width))
-                np.add.at(total, text, scores)
-                weight = np.exp(total - total.max(axis=1, keepdims=True))
-                chosen = letters.argmax(axis=1)
-                rows = np.arange(hi - lo)
-                share = letters[rows, chosen] / np.maximum(letters.sum(axis=1), 1)
-                sure_of = weight[rows, chosen] / weight.sum(axis=1)
-                bounds = np.flatnonzero(np.diff(path, prepend=-1) | np.diff(text, prepend=-1))
-                spans: list[list[dict]] = [[] for _ in range(hi - lo)]
-                for a, b in zip(bounds.tolist(), [*bounds[1:].tolist(), len(path)], strict=True):
-                    t = int(text[a])
-                    spans[t].append({"lo": a - int(words.first[t]), "hi": b - int(words.first[t]), "lang": model.languages[int(path[a])]})
-                lettered = [any(map(str.isalpha, t)) if n and t else False for t, n in zip(column.to_pylist(), words.counts, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id")[lo:hi],
-                        pa.array([model.languages[c] if ok else UNKNOWN for c, ok in zip(chosen.tolist(), lettered, strict=True)]),
-                        pa.array(np.where(lettered, share * np.maximum(sure_of, 1 / width) if width > 1 else share, 0.0)),
-                        pa.array([s if ok else [] for s, ok in zip(spans, lettered, strict=True)], pa.list_(_SPAN)),
-                    ],
-                    names=["doc_id", "lang_pred", "score", "spans"],
-                )
+            for lo, hi, named, score, spans in _labels(batch.column("text"), shared.value, switch):
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[lo:hi], pa.array(named, pa.string()), pa.array(score), pa.array(spans, pa.list_(_SPAN))], names=["doc_id", "lang_pred", "score", "spans"])
+            give_back()
+
+    return run
+
+
+def _known(shared, least: float, switch: float):
+    """Rows with all their columns whose text has a known language."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, named, score, _ in _labels(batch.column("text").cast(pa.string()), shared.value, switch):
+                yield batch.slice(lo, hi - lo).filter(pa.array((np.array(named) != UNKNOWN) & (score >= least)))
             give_back()
 
     return run
@@ -274,8 +285,13 @@ def identify(docs: DataFrame, model: LanguageModel | None = None, switch: float
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "spans")
 
 
-def keep_identified(docs: DataFrame, least: float = 0.0) -> DataFrame:
-    """The rows of `docs` whose language is known with at least the score `least`, with all their columns."""
-    gone = identify(docs).filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)).select(F.col("doc_id").alias("_gone_id")).distinct()
-    gone = cut_lineage(gone)
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_gone_id")), "left_anti")
+def keep_identified(docs: DataFrame, least: float = 0.0, switch: float = SWITCH) -> DataFrame:
+    """The rows of `docs` whose language is known with at least the score `least`, with all their columns.
+
+    Each row is judged by its own text, whatever its identifier; a null text goes. No row is known if none has a language
+    to learn from.
+    """
+    model = fit(docs)
+    if model is None:
+        return docs.limit(0)
+    return docs.mapInArrow(_known(docs.sparkSession.sparkContext.broadcast(model), least, switch), docs.schema)

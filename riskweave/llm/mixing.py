@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskweave.llm.common import cut_lineage
+from riskweave.llm.common import cut_lineage, free_names
 
 BLOCK = 64  # documents
 SLOTS = 1000  # that the task of the schedule hands on together
@@ -182,8 +182,9 @@ def _slots(named: dict[str, float] | None, block: int, slots: int, temperature:
 
 def in_mixed_order(docs: DataFrame, **options) -> DataFrame:
     """All rows of `docs` with their columns, laid out by position: written files, read by name, hold the mixture in order."""
-    places = mix(docs, **options).groupBy(F.col("doc_id").alias("_id")).agg(F.min("position").alias("_position"))
+    key, place = free_names(docs, "id", "position")
+    places = mix(docs, **options).groupBy(F.col("doc_id").alias(key)).agg(F.min("position").alias(place))
     places = cut_lineage(places)
     few = places.count() <= BROADCAST_PLACES
-    out = docs.join(F.broadcast(places) if few else places, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")))
-    return out.repartitionByRange("_position").sortWithinPartitions("_position").drop("_id", "_position")
+    out = docs.join(F.broadcast(places) if few else places, docs["doc_id"].cast("long").eqNullSafe(F.col(key)))
+    return out.repartitionByRange(place).sortWithinPartitions(place).select(*docs.columns)

@@ -12,11 +12,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm import words as W
-from riskweave.llm.common import components, cut_lineage, give_back, in_runs
+from riskweave.llm.common import components, cut_lineage, free_names, give_back, in_runs
 
 SHINGLE = 4
 PERCENT = 80  # similarity that links two documents
@@ -63,9 +63,6 @@ def signature_rows(sets: list[np.ndarray]) -> np.ndarray:
     return out.view(np.int32)
 
 
-_SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("signature", pa.list_(pa.int32()))])
-
-
 def _sign(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,18 +72,23 @@ def _sign(size: int):
                 full = [s for s in sets if len(s)]
                 signed = iter(signature_rows(full))
                 rows = [next(signed) if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id")[lo:hi], pa.array([len(s) for s in sets], pa.int64()), pa.array([digest(s) for s in sets], pa.binary()), pa.array(rows, pa.list_(pa.int32()))],
-                    schema=_SIGNED,
-                )
+                keys = [c for c in batch.schema.names if c != "text"]
+                found = [pa.array([len(s) for s in sets], pa.int64()), pa.array([digest(s) for s in sets], pa.binary()), pa.array(rows, pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c)[lo:hi] for c in keys), *found], names=[*keys, "n_shingles", "node", "signature"])
             give_back()
 
     return run
 
 
-def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_sign(size), "doc_id long, n_shingles long, node binary, signature array<int>")
+def signatures(docs: DataFrame, size: int = SHINGLE, with_digest: bool = False) -> DataFrame:
+    text = F.col("text").cast("string")
+    key = [text_digest().alias("digest")] if with_digest else []
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *key, text.alias("text"))
+    return rows.mapInArrow(_sign(size), f"doc_id long, {'digest string, ' * with_digest}n_shingles long, node binary, signature array<int>")
+
+
+def text_digest() -> Column:
+    return F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256)
 
 
 def in_blocks(rows: DataFrame, key: str, blocks: str) -> DataFrame:
@@ -206,14 +208,9 @@ def _settle(percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for each row of (doc_id, text).
-
-    Null and empty texts have no shingles and link with nothing. Rows of equal doc_id and text are in one class and
-    share all results. A null doc_id takes part, is never the smallest, and its row is kept only if its component
-    holds no other identifier. Further columns are ignored. An empty table gives no rows.
-    """
-    signed = cut_lineage(signatures(docs, size))
+def components_of(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, with_digest: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, [digest,] n_shingles, node, signature) of each row, and (node, label, component_id) of each class."""
+    signed = cut_lineage(signatures(docs, size, with_digest))
     classes = signed.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep_id"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n"))
     classes = cut_lineage(classes)
     groups = components(cut_lineage(candidate_links(classes)))
@@ -229,16 +226,42 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     found = components(links)
     named = classes.select("node", "rep_id").join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.groupBy("label").agg(F.min("rep_id").alias("component_id"))
-    named = cut_lineage(named.join(smallest, "label").select("node", "component_id"))
-    out = signed.select("doc_id", "n_shingles", "node").join(named, "node", "left")
+    return signed, cut_lineage(named.join(smallest, "label").select("node", "label", "component_id"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for each row of (doc_id, text).
+
+    Null and empty texts have no shingles and link with nothing. Rows of equal doc_id and text are in one class and
+    share all results. A null doc_id takes part, is never the smallest, and its row is kept only if its component
+    holds no other identifier. Further columns are ignored. An empty table gives no rows.
+    """
+    signed, named = components_of(docs, percent, size)
+    out = signed.select("doc_id", "n_shingles", "node").join(named.drop("label"), "node", "left")
     out = out.withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` that near_duplicates keeps, one for each component, with all their columns."""
-    found = cut_lineage(near_duplicates(docs, **options).groupBy(F.col("doc_id").alias("_id")).agg(F.sum(F.col("kept").cast("int")).alias("n")))
-    gone = found.filter("n = 0").select("_id")
-    few = gone.count() <= BROADCAST_IDS
-    out = docs.join(F.broadcast(gone) if few else gone, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")), "left_anti")
-    return out.dropDuplicates(["doc_id"]) if found.filter("n > 1").limit(1).count() else out
+def keep_first(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
+    """One row of `docs` for each component, with all its columns, and every row without a shingle.
+
+    The row of the smallest doc_id stays (a null one comes last), of equal ones that whose text has the smallest digest,
+    and any one of equal rows. Rows of different texts are told apart whatever their identifiers.
+    """
+    signed, named = components_of(docs, percent, size, with_digest=True)
+    members = signed.filter("node is not null").groupBy("doc_id", "digest", "node").agg(F.count(F.lit(1)).alias("n"))
+    members = cut_lineage(members.join(named.select("node", "label"), "node").select("label", F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest").alias("who"), "n"))
+    firsts = members.groupBy("label").agg(F.min("who").alias("first"))
+    judged = cut_lineage(members.join(firsts, "label").select("who.doc_id", "who.digest", (F.col("who") == F.col("first")).alias("stays"), "n").filter("not stays or n > 1"))
+    gone, again = judged.filter("not stays"), judged.filter("stays")
+    key, text, own = free_names(docs, "id", "digest", "own_digest")
+    rows = docs.withColumn(own, text_digest())
+
+    def met(pairs: DataFrame, how: str) -> DataFrame:
+        pairs = pairs.select(F.col("doc_id").alias(key), F.col("digest").alias(text))
+        few = pairs.count() <= BROADCAST_IDS
+        return rows.join(F.broadcast(pairs) if few else pairs, F.col("doc_id").cast("long").eqNullSafe(F.col(key)) & (F.col(own) == F.col(text)), how)
+
+    if again.limit(1).count():  # equal rows of which one stays
+        return met(judged, "left_anti").unionByName(met(again, "left_semi").dropDuplicates(["doc_id", own])).select(*docs.columns)
+    return met(gone, "left_anti").select(*docs.columns)

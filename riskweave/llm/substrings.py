@@ -97,13 +97,13 @@ class SuffixAutomaton:
             yield n, self.first[state]
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """Rows with one long as their key: the identifier, or a hash of identifier and text where identifiers repeat."""
+def _keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """Rows with one long as their key, and whether keys may repeat: the identifier, or a hash of identifier and text where identifiers do."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     ids = F.col("doc_id").cast("long")
     rows = docs.select(F.coalesce(ids, F.lit(FIRST_ID)).alias("doc_id"), ids.isNull().alias("unnamed"), text.alias("text"))
     repeated = rows.groupBy("doc_id").count().filter("count > 1").limit(1).count()
-    return rows.withColumn("key", F.xxhash64("doc_id", "text") if repeated else F.col("doc_id"))
+    return rows.withColumn("key", F.xxhash64("doc_id", "text") if repeated else F.col("doc_id")), bool(repeated)
 
 
 def _anchors(length: int, gram: int):
@@ -351,8 +351,8 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     all others. Equal rows are one document and share their result; rows of one doc_id with different texts are ordered by
     the start of the passage alone. Further columns are ignored. An empty table gives no rows.
     """
-    keyed = _keyed(docs)
-    runs = repeated_runs(keyed)
+    keyed, repeated = _keyed(docs)
+    runs = repeated_runs(keyed.dropDuplicates(["key"]) if repeated else keyed)
     extra = ", kept_text string" if with_text else ""
     out = (
         keyed.join(runs, "key", "left")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm import words as W
-from riskweave.llm.common import cut_lineage, give_back
+from riskweave.llm.common import cut_lineage, free_names, give_back
 
 WINDOW = 10  # words of a benchmark window
 GRAM = 5
@@ -122,7 +122,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     wanted = None
     distinct = theirs.select("h").distinct()
     if distinct.count() <= BROADCAST_PRINTS:
-        wanted = spark.sparkContext.broadcast(np.sort(np.array([r.h for r in distinct.collect()], np.int64)))
+        wanted = spark.sparkContext.broadcast(np.sort(distinct.toArrow().column("h").to_numpy()))
     rows = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("key", F.monotonically_increasing_id())
     mine = cut_lineage(_with_ids(rows, window, gram, short, wanted))
     prints = mine.filter(F.size("prints") > 0).select("key", F.explode("prints").alias("p"))
@@ -178,6 +178,9 @@ def _merged(ranges: str):
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` without a hit, with all their columns; a hit takes every row of its identifier."""
-    hit = cut_lineage(contamination(docs, items, **options).filter("contaminated").select(F.col("doc_id").alias("_hit_id")).distinct())
-    return docs.join(hit, docs["doc_id"].eqNullSafe(F.col("_hit_id")), "left_anti")
+    """The rows of `docs` without a hit, with all their columns; rows are judged by their text, whatever their identifier."""
+    gone, own = free_names(docs, "digest", "own_digest")
+    digest = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256)
+    hit = contamination(docs.select(digest.alias("doc_id"), "text"), items, **options).filter("contaminated")
+    hit = cut_lineage(hit.select(F.col("doc_id").alias(gone)).distinct())
+    return docs.withColumn(own, digest).join(hit, F.col(own) == F.col(gone), "left_anti").select(*docs.columns)
