@@ -18,6 +18,7 @@ from riskweave.llm.common import cut_lineage, free_names, give_back
 
 WINDOW = 10  # words of a benchmark window
 GRAM = 5
+BROADCAST_HITS = 200_000  # digests of texts with a hit (64 bytes each) that may be broadcast; beyond that Spark joins by shuffle
 BROADCAST_PRINTS = 2_000_000  # benchmark fingerprints (8 bytes each) that may be broadcast as a filter
 
 # a fingerprint: its hash, its length in words if it is a whole short item (else 0), its place, the words around
@@ -183,4 +184,5 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame
     digest = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256)
     hit = contamination(docs.select(digest.alias("doc_id"), "text"), items, **options).filter("contaminated")
     hit = cut_lineage(hit.select(F.col("doc_id").alias(gone)).distinct())
-    return docs.withColumn(own, digest).join(hit, F.col(own) == F.col(gone), "left_anti").select(*docs.columns)
+    few = hit.count() <= BROADCAST_HITS
+    return docs.withColumn(own, digest).join(F.broadcast(hit) if few else hit, F.col(own) == F.col(gone), "left_anti").select(*docs.columns)
