@@ -173,9 +173,45 @@ def _(t):
     return rounded(N.pagerank(*kept_graph(t), tol=1e-8))
 
 
-@query("gr07_betweenness")
+def _level_sql(levels: int) -> str:
+    """Shortest path counts from every node level by level, then the dependencies back; the last level must be empty."""
+    CTES["bw_links"] = "SELECT src, dst FROM links WHERE src <> dst"
+    CTES["bw_inside"] = "SELECT src AS id FROM bw_links UNION SELECT dst FROM bw_links"
+    CTES["bf0"] = "SELECT id AS s, id AS v, 1.0::DOUBLE AS paths FROM bw_inside"
+    CTES["bs0"] = "SELECT s, v FROM bf0"
+    for i in range(1, levels + 1):
+        CTES[f"bf{i}"] = f"SELECT f.s, l.dst AS v, sum(f.paths) AS paths FROM bf{i - 1} f JOIN bw_links l ON l.src = f.v WHERE (f.s, l.dst) NOT IN (SELECT (s, v) FROM bs{i - 1}) GROUP BY f.s, l.dst"
+        CTES[f"bs{i}"] = f"SELECT s, v FROM bs{i - 1} UNION ALL SELECT s, v FROM bf{i}"
+    CTES[f"bd{levels}"] = f"SELECT s, v, paths, 0.0::DOUBLE AS delta FROM bf{levels}"
+    for i in range(levels - 1, 0, -1):
+        CTES[f"bd{i}"] = (
+            f"SELECT f.s, f.v, f.paths, f.paths * coalesce(sum((1 + d.delta) / d.paths), 0) AS delta FROM bf{i} f LEFT JOIN (SELECT l.src, b.* FROM bw_links l JOIN bd{i + 1} b ON b.v = l.dst) d ON d.s = f.s AND d.src = f.v GROUP BY f.s, f.v, f.paths"
+        )
+    sums = " UNION ALL ".join(f"SELECT v, delta FROM bd{i}" for i in range(1, levels + 1))
+    CTES["between"] = f"SELECT n.id, coalesce(b.x, 0) / (SELECT CASE WHEN count(*) > 2 THEN (count(*) - 1) * (count(*) - 2) ELSE 1 END FROM bw_inside) AS betweenness FROM nodes n LEFT JOIN (SELECT v, sum(delta) AS x FROM ({sums}) GROUP BY v) b ON b.v = n.id"
+    return f"SELECT id, {rnd('betweenness', 9)} AS betweenness FROM between"
+
+
+@query("gr07_betweenness", _level_sql(14))
 def _(t):
-    return N.betweenness(*kept_graph(t))
+    return rounded(N.betweenness(*kept_graph(t)), 9)
+
+
+@query("gr07_sampled_betweenness", "SELECT count(*) AS nodes, true AS within_bound, true AS bounds_kept FROM nodes")
+def _(t):
+    """Whether the sampled values lie within their bounds of the exact ones, over all nodes."""
+    nodes, edges = kept_graph(t)
+    exact = N.betweenness(nodes, edges).withColumnRenamed("betweenness", "exact")
+    both = N.sampled_betweenness(nodes, edges, error=0.1).join(exact, "id")
+    return both.agg(F.count(F.lit(1)).alias("nodes"), F.bool_and(F.abs(F.col("betweenness") - F.col("exact")) <= F.col("bound") + 1e-9).alias("within_bound"), F.bool_and(F.col("bound") <= 0.1).alias("bounds_kept"))
+
+
+@query("gr04_auditor_contagion", f"""SELECT n.id AS cik, coalesce(a.auditors, 0) AS auditors, coalesce(p.reached, 0) AS reached_clients, {rnd('least(coalesce(p.m * 0.3::DOUBLE, 0), 100)', 4)} AS contagion_score FROM nodes n
+ LEFT JOIN (SELECT src, count(DISTINCT dst) AS auditors FROM edges WHERE edge_type = 'AUDITED_BY' GROUP BY src) a ON a.src = n.id
+ LEFT JOIN (SELECT x.src, count(*) AS reached, CAST(sum(CAST(k.ml_risk_score AS DECIMAL(20,4))) AS DOUBLE) / count(*) AS m FROM edges x JOIN edges y ON x.dst = y.dst AND x.src <> y.src AND x.edge_type = 'AUDITED_BY' AND y.edge_type = 'AUDITED_BY'
+  JOIN nodes k ON k.id = y.src GROUP BY x.src) p ON p.src = n.id WHERE n.node_type = 'Company'""")
+def _(t):
+    return rounded(G.auditor_contagion(*graph(t)), 4)
 
 
 @query("gr09_risk_clusters", f"""SELECT community_id, count(*) AS size, count(*) FILTER (node_type = 'Company') AS company_count,
@@ -191,10 +227,13 @@ def _(t):
     return out.withColumns({"avg_ml_risk_score": F.round("avg_ml_risk_score", 4), "avg_pagerank": F.round("avg_pagerank", 5)})
 
 
-@query("gr10_critical_connectors")
+@query("gr10_critical_connectors", f"""SELECT n.id AS node_id, n.node_type, coalesce(nullif(n.name, ''), n.id) AS name, {rnd('b.betweenness')} AS betweenness, {rnd('r.pagerank', 5)} AS pagerank,
+ (SELECT count(*) FROM links l WHERE l.dst = n.id) AS in_degree, (SELECT count(*) FROM links l WHERE l.src = n.id) AS out_degree, n.ml_risk_score
+ FROM between b JOIN nodes n ON n.id = b.id JOIN ranked r ON r.id = n.id ORDER BY round(b.betweenness, 12) DESC, n.id LIMIT 10""")
 def _(t):
     nodes, edges = kept_graph(t)
-    return G.critical_connectors(nodes, N.centrality(nodes, edges))
+    out = G.critical_connectors(nodes, N.centrality(nodes, edges))
+    return out.withColumns({"betweenness": F.round("betweenness", 6), "pagerank": F.round("pagerank", 5)})
 
 
 @query("gr03_rank_weighted_risk", f"""SELECT n.id, {rnd('least(coalesce(x.m * 0.3::DOUBLE, 0), 100)', 4)} AS network_risk_score FROM nodes n LEFT JOIN

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from riskweave.catalog.base import CTES, query, rnd, rounded
 from riskweave.functions import constants as K
+from riskweave.operators import lsh
 from riskweave.operators import text as T
 from riskweave.operators import vectors as V
 
@@ -125,6 +126,14 @@ def _(t):
     return rounded(hits(t))
 
 
+@query("tx09_approximate_top_k")
+def _(t):
+    """The index over all vectors, built and searched; its recall is measured in the tests."""
+    e = t.raw("embeddings")
+    index = lsh.build_index(e.select("vec_id", "embedding"))
+    return rounded(lsh.approximate_top_k(index, V.centroids(e, "label"), 6))
+
+
 @query("tx09_filtered_top_k", f"""SELECT query_id, vec_id, CAST(place AS INT) AS place, {rnd('similarity')} AS similarity FROM (SELECT query_id, vec_id, similarity, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS place
  FROM (SELECT query_id, vec_id, list_cosine_similarity(embedding::DOUBLE[], query) AS similarity FROM cent, embeddings WHERE label = 3)) WHERE place <= 6""")
 def _(t):

@@ -136,6 +136,26 @@ def auditor_groups(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
+def auditor_contagion(nodes: DataFrame, edges: DataFrame, weight: float = 0.3) -> DataFrame:
+    """Risk that reaches a company over its auditors: cik, auditors, reached clients and `weight` times their mean risk.
+
+    Each auditor passes on the mean score of its other clients, (sum - own) / (clients - 1), so no pair of clients is formed;
+    a company with several auditors weights them by their other clients, as the mean over its pairs does. Sums are decimals,
+    hence the same in any order. Companies without an auditor, or alone with theirs, are reached by nobody and get 0.
+    """
+    companies = nodes.where("node_type = 'Company'").select(F.col("id").alias("src"), F.col("ml_risk_score").cast("decimal(20,4)").alias("own"))
+    clients = edges.where("edge_type = 'AUDITED_BY'").select("src", "dst").distinct().join(companies, "src")
+    hubs = clients.groupBy("dst").agg(F.sum("own").alias("total"), F.count(F.lit(1)).alias("n"))
+    met = clients.join(hubs, "dst").groupBy("src").agg(
+        F.count(F.lit(1)).alias("auditors"), F.sum(F.col("n") - 1).alias("reached_clients"),
+        F.try_divide(F.sum(F.col("total") - F.col("own")).cast("double"), F.sum(F.col("n") - 1)).alias("mean"),
+    )
+    return companies.join(met, "src", "left").select(
+        F.col("src").alias("cik"), F.coalesce("auditors", F.lit(0)).cast("long").alias("auditors"), F.coalesce("reached_clients", F.lit(0)).cast("long").alias("reached_clients"),
+        F.coalesce(at_most(F.col("mean") * weight, 100), F.lit(0.0)).alias("contagion_score"),
+    )
+
+
 def top_auditor_pairs(nodes: DataFrame, edges: DataFrame, n: int = 50) -> DataFrame:
     """The n client pairs of one auditor with the highest mean risk, exactly.
 
