@@ -121,3 +121,12 @@ def _(t):
     return rounded(J.drift_rows(hours).withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")), 4)
 
 
+
+
+@query("st04_streamed_drift", f"""SELECT strftime(run_hour, '%Y-%m-%d %H:%M:%S') AS window_start, {rnd('s', 4)} AS score_drift, {rnd('r', 4)} AS rate_drift, CASE WHEN abs(s) > 20 THEN 'HIGH' ELSE 'MEDIUM' END AS severity FROM (
+ SELECT run_hour, avg_score - lag(avg_score) OVER (ORDER BY run_hour) AS s, anomaly_rate - lag(anomaly_rate) OVER (ORDER BY run_hour) AS r FROM hours)
+ WHERE (abs(s) > 10 OR abs(r) > 0.05) AND run_hour + INTERVAL 1 HOUR <= (SELECT max(generated_at) - INTERVAL 2 DAY FROM t_audit WHERE event_type = 'risk_score_generated')""")
+def _(t):
+    """Hours that the watermark, two days behind the newest event, has closed."""
+    out = J.streamed_drift(audit_stream(t), new_path(t.spark, "drift"), new_path(t.spark, "drift-state"))
+    return rounded(out.drop("series").withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")), 4)

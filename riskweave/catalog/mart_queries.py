@@ -361,3 +361,22 @@ def _(t):
 
 
 
+
+
+_FLOWS = marts.FLOWS
+CTES["one_a_quarter"] = """SELECT *, form IN ('10-K', '10-K/A') AS annual FROM rated
+ QUALIFY row_number() OVER (PARTITION BY cik, fiscal_year, fiscal_quarter ORDER BY CASE WHEN form IN ('10-K', '10-K/A') THEN 0 ELSE 1 END, form, period_end DESC) = 1"""
+CTES["single_quarters"] = "SELECT cik, fiscal_year, fiscal_quarter, annual, " + ", ".join(
+    f"{x}, CASE WHEN NOT annual THEN {x} WHEN count({x}) FILTER (NOT annual) OVER y = 3 THEN {x} - sum({x}) FILTER (NOT annual) OVER y END AS quarter_{x}" for x in _FLOWS
+) + " FROM one_a_quarter WINDOW y AS (PARTITION BY cik, fiscal_year)"
+CTES["four_quarters"] = "SELECT cik, fiscal_year, fiscal_quarter, annual, " + ", ".join(
+    f"quarter_{x}, CASE WHEN annual THEN {x} WHEN count(quarter_{x}) OVER f = 4 THEN sum(quarter_{x}) OVER f END AS t4q_{x}" for x in _FLOWS
+) + " FROM single_quarters WINDOW f AS (PARTITION BY cik ORDER BY fiscal_year * 4 + fiscal_quarter RANGE BETWEEN 3 PRECEDING AND CURRENT ROW)"
+_MARGINS = [("gross", "gross_profit"), ("operating", "operating_income"), ("net", "net_income")]
+
+
+@query("wn16_true_quarters", "SELECT cik, fiscal_year, fiscal_quarter, annual, " + ", ".join(f"{rnd(p + x, 4)} AS {p}{x}" for p in ("quarter_", "t4q_") for x in _FLOWS)
+    + ", " + ", ".join(f"{rnd(f'CASE WHEN t4q_revenues > 0 THEN t4q_{a} / t4q_revenues END', 4)} AS t4q_{m}_margin" for m, a in _MARGINS) + " FROM four_quarters")
+def _(t):
+    rated = marts.ratios(facts_ops.with_yoy_growth(facts_ops.period_metrics(t.facts)))
+    return rounded(marts.true_quarters(rated), 4)

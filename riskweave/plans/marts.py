@@ -109,6 +109,34 @@ def trends(rated: DataFrame, leverage_limit: float = 3.0) -> DataFrame:
     return flagged.withColumn("total_signal_count", sum((F.col(f) for f in K.FLAGS), F.lit(0)))
 
 
+FLOWS = ["revenues", "gross_profit", "operating_income", "net_income"]  # amounts of a period, which add up
+
+
+def true_quarters(rated: DataFrame) -> DataFrame:
+    """A row a company and fiscal quarter: amounts of the quarter alone, of the four up to it, and the margins of those four.
+
+    `trends` takes each report as one quarter. Here an annual report holds the amounts of its year, so its quarter is what
+    the three others leave of them, unknown if one of these is missing; the four quarters up to it are then the year itself.
+    Any other report stands for its own quarter (an annual one comes first, then the latest). Amounts of four quarters are
+    null unless all four are known.
+    """
+    annual = F.col("form").isin(*K.ANNUAL_FORMS)
+    pick = Window.partitionBy("cik", "fiscal_year", "fiscal_quarter").orderBy(F.when(annual, 0).otherwise(1), "form", F.desc("period_end"))
+    rows = rated.withColumn("_place", F.row_number().over(pick)).where("_place = 1").withColumn("_n", F.col("fiscal_year") * 4 + F.col("fiscal_quarter"))
+    year = Window.partitionBy("cik", "fiscal_year")
+    four = Window.partitionBy("cik").orderBy("_n").rangeBetween(-3, 0)
+    single, trailing = {}, {}
+    for name in FLOWS:
+        other = F.when(~annual, F.col(name))
+        rest = F.when(F.count(other).over(year) == 3, F.col(name) - F.sum(other).over(year))
+        single[f"quarter_{name}"] = F.when(annual, rest).otherwise(F.col(name))
+        q = F.col(f"quarter_{name}")
+        trailing[f"t4q_{name}"] = F.when(annual, F.col(name)).otherwise(F.when(F.count(q).over(four) == 4, F.sum(q).over(four)))
+    margins = {f"t4q_{m}_margin": guarded_ratio(f"t4q_{a}", "t4q_revenues") for m, a in (("gross", "gross_profit"), ("operating", "operating_income"), ("net", "net_income"))}
+    out = rows.withColumns(single).withColumns(trailing).withColumns(margins)
+    return out.select("cik", "fiscal_year", "fiscal_quarter", annual.alias("annual"), *single, *trailing, *margins)
+
+
 def rated_history(facts: DataFrame) -> DataFrame:
     """Facts to the full ratio and flag history."""
     return trends(ratios(with_yoy_growth(period_metrics(facts))))

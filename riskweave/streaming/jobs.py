@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import sys
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from riskweave.functions import constants as K
 from riskweave.functions.exprs import count_if, rate
@@ -73,6 +78,61 @@ def drift_rows(hours: DataFrame) -> DataFrame:
     moved = F.col("avg_score") - F.lag("avg_score").over(order)
     shifted = F.col("anomaly_rate") - F.lag("anomaly_rate").over(order)
     rows = hours.select("window_start", moved.alias("score_drift"), shifted.alias("rate_drift"))
-    return rows.where((F.abs("score_drift") > K.SCORE_DRIFT) | (F.abs("rate_drift") > K.RATE_DRIFT)).withColumn(
-        "severity", F.when(F.abs("score_drift") > 2 * K.SCORE_DRIFT, "HIGH").otherwise("MEDIUM")
-    )
+    return with_severity(rows.where((F.abs("score_drift") > K.SCORE_DRIFT) | (F.abs("rate_drift") > K.RATE_DRIFT)))
+
+
+def with_severity(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("severity", F.when(F.abs("score_drift") > 2 * K.SCORE_DRIFT, "HIGH").otherwise("MEDIUM"))
+
+
+class HourlyDrift(StatefulProcessor):
+    """Keeps the last closed hour of each series and gives out the change to the next one.
+
+    Hours come closed and, batch by batch, in order: the watermark passes an earlier one no later than a later one. So the
+    state is one row a series, and what leaves the stream is never taken back.
+    """
+
+    HOUR = "window_start timestamp, avg_score double, anomaly_rate double"
+    CHANGE = "series string, window_start timestamp, score_drift double, rate_drift double"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", self.HOUR)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        hours = pd.concat(list(rows)).sort_values("window_start", kind="stable")
+        starts, scores, rates = (hours[c].tolist() for c in ("window_start", "avg_score", "anomaly_rate"))
+        held = self.last.get() if self.last.exists() else None
+        if held is not None:
+            scores, rates = [held[1], *scores], [held[2], *rates]
+            moved = starts
+        else:
+            moved = starts[1:]
+        self.last.update((starts[-1].to_pydatetime(), float(scores[-1]), float(rates[-1])))
+        if moved:
+            yield pd.DataFrame({"series": key[0], "window_start": moved, "score_drift": np.diff(scores), "rate_drift": np.diff(rates)})
+
+    def close(self) -> None:
+        pass
+
+
+def drift_stream(stream: DataFrame, delay: str = "2 days", series: str = "all") -> DataFrame:
+    """Hours whose score or anomaly rate moved past a limit against the hour before, as they are closed by the watermark."""
+    hours = windowed_monitor(stream, "1 hour", delay=delay).select(F.lit(series).alias("series"), "window_start", "avg_score", "anomaly_rate")
+    moved = hours.groupBy("series").transformWithStateInPandas(HourlyDrift(), HourlyDrift.CHANGE, "Append", "None")
+    return with_severity(moved.where((F.abs("score_drift") > K.SCORE_DRIFT) | (F.abs("rate_drift") > K.RATE_DRIFT)))
+
+
+def streamed_drift(stream: DataFrame, path: str, checkpoint: str, delay: str = "2 days") -> DataFrame:
+    """Works off what is there into a table of drift rows and returns it; a restart goes on behind the last closed hour."""
+    spark = stream.sparkSession
+    name = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        run_available(drift_stream(stream, delay), "append", checkpoint, path=path)
+    finally:
+        spark.conf.set(name, old) if old else spark.conf.unset(name)
+    return spark.read.schema(f"{HourlyDrift.CHANGE}, severity string").parquet(path)
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
