@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from riskweave.catalog.base import CTES, query, rnd, rounded, sql_list
 from riskweave.functions import constants as K
-from riskweave.operators import explain, governance
+from riskweave.functions.order_stats import percentiles
+from riskweave.operators import explain, governance, sketches
 from riskweave.operators import monitoring as M
 from riskweave.plans import reports as R
+from riskweave.session import new_path
 
 AS_OF = datetime(2024, 1, 31)
 _AS_OF = "TIMESTAMP '2024-01-31'"
@@ -235,6 +237,32 @@ def _(t):
     return rounded(M.weekly_performance(t.audit, AS_OF), 4)
 
 
+@query("ag35_sketched_by_type", f"SELECT event_type, count(*) AS total_events, count(*) FILTER (human_reviewed) AS human_reviews, count(*) FILTER (review_action = 'escalated') AS escalations, count(*) FILTER (final_risk_tier IN ('HIGH','CRITICAL')) AS high_risk_flags, TRUE AS companies_within_error FROM t_audit WHERE generated_at >= {_AS_OF} - INTERVAL 30 DAY GROUP BY 1")
+def _(t):
+    """From a table of days; the estimated number of companies is held against the exact one."""
+    path = new_path(t.spark, "days")
+    sketches.write_days(t.audit, path)
+    told = sketches.events_by_type(sketches.read_days(t.spark, path), AS_OF.date())
+    exact = t.audit.where(F.col("generated_at") >= F.lit(AS_OF) - F.make_dt_interval(F.lit(30))).groupBy("event_type").agg(F.countDistinct("cik").alias("_exact"))
+    near = F.abs(F.col("unique_companies") - F.col("_exact")) <= F.greatest(F.lit(1.0), sketches.COUNT_ERROR * F.col("_exact"))
+    return told.join(exact, "event_type").withColumn("companies_within_error", near).drop("unique_companies", "_exact")
+
+
+@query("ag36_sketched_performance", f"SELECT CAST(date_trunc('week', generated_at) AS DATE) AS week, {rnd('avg(ml_risk_score)', 4)} AS avg_ml_score, {rnd('avg(final_risk_score)', 4)} AS avg_final_score, {rnd('avg(CASE WHEN is_anomaly THEN 1.0::DOUBLE ELSE 0 END)', 4)} AS anomaly_rate, TRUE AS p90_within_error FROM t_audit WHERE event_type = 'risk_score_generated' AND generated_at >= {_AS_OF} - INTERVAL 180 DAY GROUP BY 1")
+def _(t):
+    """From a table of days; the 90 % quantile lies between the exact ones of the ranks that the sketch allows."""
+    path = new_path(t.spark, "days")
+    sketches.write_days(t.audit, path)
+    told = sketches.weekly_performance(sketches.read_days(t.spark, path), AS_OF.date())
+    used = t.audit.where("event_type = 'risk_score_generated'").where(F.col("generated_at") >= F.lit(AS_OF) - F.make_dt_interval(F.lit(180)))
+    weeks = used.withColumn("week", F.date_trunc("week", "generated_at").cast("date"))
+    ends = percentiles(weeks, ["final_risk_score"], [0.9 - sketches.RANK_ERROR, 0.9 + sketches.RANK_ERROR], ["week"])
+    bounds = ends.join(weeks.groupBy("week").agg(F.count("final_risk_score").alias("_n")), "week").select("week", "p0", "p1", "_n")
+    # a week of few events may miss by one place
+    inside = F.col("p90_score").between(F.col("p0") - 1e-9, F.col("p1") + 1e-9)
+    return rounded(told.join(bounds, "week").withColumn("p90_within_error", inside | (F.col("_n") < 50)).drop("p90_score", "p0", "p1", "_n"), 4)
+
+
 # --- bias ------------------------------------------------------------------------------------------------------
 
 CTES["bias_long"] = "SELECT 'industry_group' AS dimension, industry_group AS grp, final_risk_score AS score FROM t_scored UNION ALL SELECT 'state_of_incorporation', state_of_incorporation, final_risk_score FROM t_scored UNION ALL SELECT 'final_risk_tier', final_risk_tier, final_risk_score FROM t_scored"

@@ -18,6 +18,13 @@ def trained(t):
     return scoring.train(candidates(t), trees=TREES)
 
 
+def scores_of(t):
+    """Model scores of all companies, no rows where there are none."""
+    found = candidates(t)
+    run = scoring.train(found, trees=TREES)
+    return scoring.no_scores(found) if run is None else scoring.anomaly_scores(run, t.companies)
+
+
 @query("ml03_forest_nodes")
 def _(t):
     run = trained(t)
@@ -32,7 +39,7 @@ def _(t):
 
 @query("ml05_anomaly_scores")
 def _(t):
-    return scoring.anomaly_scores(trained(t), t.companies)
+    return scores_of(t)
 
 
 @query("ml06_saved_model")
@@ -58,7 +65,7 @@ def _(t):
     from riskweave.operators import graph as G
     from riskweave.plans.fusion import final_scores
 
-    ml = cut_lineage(scoring.anomaly_scores(trained(t), t.companies))
+    ml = cut_lineage(scores_of(t))
     ties = cut_lineage(t.relationships)
     companies = G.company_nodes(t.companies, ml, ml)
     nodes, edges = G.build_nodes(companies, t.auditors, ties), G.build_edges(companies, t.auditors, ties)
@@ -66,6 +73,38 @@ def _(t):
     return final_scores(ml, conformity(t), risk)
 
 
+def network_of(t):
+    from riskweave.operators import graph as G
+
+    def risk(ml):
+        companies = G.company_nodes(t.companies, ml, ml)
+        ties = cut_lineage(t.relationships)
+        nodes, edges = G.build_nodes(companies, t.auditors, ties), G.build_edges(companies, t.auditors, ties)
+        return G.neighbour_risk(nodes, edges).select(F.col("id").alias("cik"), "network_risk_score")
+
+    return risk
+
+
+@query("ml09_run_record", """SELECT 'completed' AS status, CAST(count(*) AS INT) AS companies_processed, CAST(NULL AS VARCHAR) AS error_message, count(*) AS audit_records, TRUE AS anomalies_within_share, TRUE AS one_record_each
+ FROM candidates c WHERE cik IN (SELECT cik FROM t_companies)""")
+def _(t):
+    """The run row and the audit of the whole scoring job, written twice with the same id as after a restart."""
+    from riskweave.catalog.governance_queries import AS_OF
+    from riskweave.catalog.graphs import conformity
+    from riskweave.sources.runs import Ledger
+
+    folder = new_path(t.spark, "scoring")
+    found, digits = cut_lineage(candidates(t)), cut_lineage(conformity(t))
+    for _ in range(2):
+        done = scoring.scoring_job(found, t.companies, digits, network_of(t), folder, "run-1", AS_OF, TREES)
+    log = scoring.audit_log(t.spark, folder).groupBy(F.col("mlflow_run_id").alias("id")).agg(
+        F.count("*").alias("audit_records"), F.count(F.when(F.col("is_anomaly"), 1)).alias("_a"), F.countDistinct("cik").alias("_c"))
+    return Ledger(t.spark, f"{folder}/runs").states().join(log, "id").select(
+        "status", "companies_processed", "error_message", "audit_records",
+        (F.col("_a") <= F.ceil(0.1 * F.col("audit_records"))).alias("anomalies_within_share"),
+        ((F.col("_c") == F.col("audit_records")) & (F.lit(done["audited"]) == 0)).alias("one_record_each"))
+
+
 # --- streams: each works off the landed files and returns what it wrote --------------------------------------
 
 
@@ -100,6 +139,14 @@ def _(t):
     return rounded(out.withColumn("week", F.col("window_start").cast("date")).drop("window_start"), 4)
 
 
+@query("st02_closed_monitor", _MON.format(w="generated_at", n="day").replace(" GROUP BY 1", " AND CAST(generated_at AS DATE) + INTERVAL 1 DAY <= (SELECT max(generated_at) - INTERVAL 2 DAY FROM t_audit WHERE event_type = 'risk_score_generated') GROUP BY 1"))
+def _(t):
+    """Days that the watermark, two days behind the newest event, has closed; each is given out once."""
+    monitor = J.ClosedMonitor(t.spark, new_path(t.spark, "closed"), "1 day")
+    monitor.run(audit_stream(t), new_path(t.spark, "closed-state"))
+    return rounded(monitor.closed().withColumn("day", F.col("window_start").cast("date")).drop("window_start"), 4)
+
+
 @query("st03_incremental_filings", "SELECT cik, accession_number, filing_date, ingested_on FROM (SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS cik, CAST(max(o_orderkey) AS VARCHAR) AS accession_number, CAST(arg_max(o_orderdate, o_orderkey) AS DATE) AS filing_date, DATE '2024-01-01' AS ingested_on FROM orders GROUP BY o_custkey)")
 def _(t):
     o = J.file_stream(t.spark, t.folder, "orders.parquet").select(

@@ -69,6 +69,80 @@ def monitor_table(stream: DataFrame, length: str, offset: str | None = None) ->
     return sinks.current_rows(spark, path, MONITOR, ["window_start"])
 
 
+class ClosedMonitor:
+    """Windows of scoring events that are given out once, when the watermark passes their end, beside a table of late rows.
+
+    Spark's own watermark drops late rows without giving them out. Here each batch is held against the newest event of the
+    batches before it: rows of a window that has been closed by then, and rows without a time, go to the late table, all
+    others are added up by window and kept as one row per batch and window. So every landed row is in exactly one of the two.
+    All tables are kept by batch, and a batch looks only at batches before its own: a replay changes nothing. `clock` holds
+    one row a batch, `parts` one row per batch and window it touches.
+    """
+
+    PARTS = "window_start timestamp, window_end timestamp, total_scored bigint, anomalies_flagged bigint, judged bigint, score_sum double, scores bigint"
+
+    def __init__(self, spark: SparkSession, folder: str, length: str, offset: str | None = None, delay: str = "2 days"):
+        self.spark, self.folder, self.length, self.offset, self.delay = spark, folder, length, offset, delay
+        for name in ("clock", "parts", "closed", "late"):
+            spark.createDataFrame([], f"{sinks.BATCH} long, empty int").write.mode("ignore").partitionBy(sinks.BATCH).parquet(f"{folder}/{name}")
+
+    def _read(self, name: str, schema: str) -> DataFrame:
+        return self.spark.read.schema(f"{schema}, {sinks.BATCH} long").parquet(f"{self.folder}/{name}")
+
+    def _limit(self, newest: int | None):
+        """End of the last closed window at the most; null before any event."""
+        return F.timestamp_micros(F.lit(newest).cast("long")) - F.expr(f"INTERVAL {self.delay}")
+
+    def newest(self, before: int) -> int | None:
+        """Newest event time in microseconds of the batches before this one."""
+        return self._read("clock", "newest long").where(F.col(sinks.BATCH) < before).agg(F.max("newest")).first()[0]
+
+    def take(self, batch: DataFrame, batch_id: int) -> None:
+        used = batch.where("event_type = 'risk_score_generated'").persist()
+        try:
+            self._take(used, batch_id)
+        finally:
+            used.unpersist()
+
+    def _take(self, used: DataFrame, batch_id: int) -> None:
+        stamp = F.col("generated_at")
+        before = self.newest(batch_id)
+        span = F.window(stamp, self.length, self.length, self.offset) if self.offset else F.window(stamp, self.length)
+        timed = used.withColumn("w", span)
+        is_late = F.coalesce(F.col("w.end") <= self._limit(before), F.lit(False))
+        late = timed.where(is_late).drop("w").unionByName(used.where(stamp.isNull()))
+        sinks.write_batch(late, f"{self.folder}/late", batch_id)
+        parts = timed.where(~is_late).groupBy("w").agg(
+            F.count(F.lit(1)).alias("total_scored"), count_if(F.col("is_anomaly")).alias("anomalies_flagged"),
+            F.count(F.lit(1)).alias("judged"), F.sum("final_risk_score").alias("score_sum"), F.count("final_risk_score").alias("scores"),
+        ).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "total_scored", "anomalies_flagged", "judged", "score_sum", "scores")
+        sinks.write_batch(parts, f"{self.folder}/parts", batch_id)
+        own = used.agg(F.max(F.unix_micros(stamp))).first()[0]
+        after = max((n for n in (before, own) if n is not None), default=None)
+        sinks.write_batch(self.spark.createDataFrame([(after,)], "newest long").coalesce(1), f"{self.folder}/clock", batch_id)
+        fresh = F.col("window_end") <= self._limit(after)
+        if before is not None:
+            fresh = fresh & (F.col("window_end") > self._limit(before))
+        closed = self._read("parts", self.PARTS).where((F.col(sinks.BATCH) <= batch_id) & fresh).groupBy("window_start").agg(
+            F.sum("total_scored").alias("total_scored"), F.sum("anomalies_flagged").alias("anomalies_flagged"),
+            (F.sum("score_sum") / F.nullif(F.sum("scores"), F.lit(0))).alias("avg_score"),
+            (F.sum("anomalies_flagged") / F.sum("judged")).alias("anomaly_rate"),
+        )
+        sinks.write_batch(closed, f"{self.folder}/closed", batch_id)
+
+    def run(self, stream: DataFrame, checkpoint: str) -> None:
+        """Works off what is there; a restart with the same checkpoint goes on behind the last batch."""
+        run_available(stream, "append", checkpoint, each=self.take)
+
+    def closed(self) -> DataFrame:
+        """One row per closed window; a row once here never changes."""
+        return self._read("closed", MONITOR).drop(sinks.BATCH)
+
+    def late(self, schema: str) -> DataFrame:
+        """The late rows themselves, with the batch they came in."""
+        return self._read("late", schema)
+
+
 def drift_rows(hours: DataFrame) -> DataFrame:
     """Each run hour against the hour before it, kept where the drift passes a limit.
 
