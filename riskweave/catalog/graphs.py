@@ -156,6 +156,19 @@ def _(t):
     return N.louvain(*kept_graph(t))
 
 
+@query("gr05_louvain_checks", "SELECT count(*) AS nodes, TRUE AS one_community_each, TRUE AS inside_components, TRUE AS not_below_components FROM nodes")
+def _(t):
+    """Communities as a partition: each node in one, none across components, modularity not below that of the components."""
+    nodes, edges = kept_graph(t)
+    part = cut_lineage(N.louvain(nodes, edges))
+    whole = cut_lineage(N.connected_components(nodes, edges))
+    better = N.modularity(edges, part) >= N.modularity(edges, whole, "component") - 1e-9
+    held = nodes.select("id").join(part, "id", "left").join(whole, "id", "left")
+    each = held.groupBy("id").agg(F.count("community_id").alias("n"), F.max("community_id").alias("c"), F.max("component").alias("g"))
+    groups = each.groupBy("c").agg(F.count(F.lit(1)).alias("nodes"), F.bool_and(F.col("n") == 1).alias("one"), (F.min("g").eqNullSafe(F.max("g"))).alias("inside"))
+    return groups.agg(F.sum("nodes").alias("nodes"), F.bool_and("one").alias("one_community_each"), F.bool_and("inside").alias("inside_components")).withColumn("not_below_components", F.lit(better))
+
+
 _ROUNDS = 90  # of the SQL twin, past any change in the digits compared; the job stops by tolerance
 CTES["shares"] = "SELECT l.src, l.dst, 1.0::DOUBLE / o.n AS share FROM links l JOIN (SELECT src, count(*) AS n FROM links GROUP BY src) o ON o.src = l.src"
 CTES["inside"] = "SELECT src AS id FROM links UNION SELECT dst FROM links"

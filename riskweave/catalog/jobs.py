@@ -32,6 +32,19 @@ def _(t):
         F.count("*").alias("nodes"), F.max("depth").alias("depth"), F.max("size").alias("rows_in_root"))
 
 
+@query("ml03_tree_checks", f"SELECT CAST(tree AS INT) AS tree, CAST(least(256, n) AS INT) AS rows_in_root, TRUE AS splits_add_up, TRUE AS within_depth FROM range({TREES}) r(tree), (SELECT count(*) AS n FROM candidates)")
+def _(t):
+    """Each tree starts from the sample, each split hands all its rows on, and no path is longer than the depth allowed."""
+    nodes = trained(t).model.nodes
+    parts = nodes.where("feature >= 0").select("tree", "node", F.explode(F.array("left", "right")).alias("child"))
+    sizes = nodes.select("tree", F.col("node").alias("child"), F.col("size").alias("part"))
+    handed = parts.join(sizes, ["tree", "child"], "left").groupBy("tree", "node").agg(F.sum("part").alias("handed"))
+    return nodes.join(handed, ["tree", "node"], "left").groupBy("tree").agg(
+        F.max(F.when(F.col("node") == 0, F.col("size"))).alias("rows_in_root"),
+        F.bool_and(F.when(F.col("feature") >= 0, F.coalesce(F.col("handed") == F.col("size"), F.lit(False))).otherwise(True)).alias("splits_add_up"),
+        (F.max("depth") <= 8).alias("within_depth"))
+
+
 @query("ml04_forest_scores")
 def _(t):
     return trained(t).scores.select("cik", "score", "decision", (F.col("decision") < 0).alias("is_anomaly"))
@@ -59,6 +72,25 @@ def _(t):
     return scoring.attribution_rows(trained(t))
 
 
+@query("ml07_company_checks", "SELECT cik, TRUE AS score_in_range, TRUE AS same_after_loading, TRUE AS effects_add_up FROM candidates")
+def _(t):
+    """Per company: a score within its range, the same decision from the loaded model, and effects that make up the path length."""
+    from riskweave.plans.features import apply_scaler
+
+    run = trained(t)
+    path = new_path(t.spark, "model")
+    forest.save(run.model, run.fitted, path)
+    model, fitted = forest.load(t.spark, path)
+    again = forest.decisions(forest.raw_scores(apply_scaler(run.features, fitted), model), model).select("cik", F.col("decision").alias("_again"))
+    norm = float(forest.mean_path([run.model.sample])[0]) or 1.0
+    length = -F.log2(-F.col("score")) * norm
+    told = forest.attributions(run.scaled, run.model).select("cik", (F.aggregate("phi", F.lit(0.0), lambda a, x: a + x) + F.col("base")).alias("_told"))
+    return run.scores.join(again, "cik").join(told, "cik").select(
+        "cik", ((F.col("score") < 0) & (F.col("score") > -1)).alias("score_in_range"),
+        (F.abs(F.col("decision") - F.col("_again")) < 1e-12).alias("same_after_loading"),
+        (F.abs(length - F.col("_told")) < 1e-6).alias("effects_add_up"))
+
+
 @query("ml09_scoring_job")
 def _(t):
     from riskweave.catalog.graphs import conformity

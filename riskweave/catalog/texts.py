@@ -64,6 +64,22 @@ def _(t):
         F.count("*").alias("chunks"), F.max(F.char_length("text")).alias("longest"), F.sum(F.char_length("text")).alias("chars"))
 
 
+@query("tx04_chunk_checks", """SELECT doc_id, section_key, TRUE AS within_size, TRUE AS from_section, TRUE AS starts_at_head, TRUE AS ends_at_tail, TRUE AS nothing_lost
+ FROM sec WHERE regexp_matches(text, '[^ \\t-\\r]')""")
+def _(t):
+    """Chunks of each section against its whole text: size, origin, both ends, and characters other than blanks."""
+    whole = T.sections(t.filing_texts).select("doc_id", "section_key", "text").withColumn("_whole", F.regexp_replace("text", r"^\s+|\s+$", ""))
+    solid = lambda c: F.char_length(F.regexp_replace(c, r"\s", ""))
+    first, last = F.col("chunk_index") == 0, F.col("chunk_index") == F.col("total_chunks") - 1
+    cut = T.chunks(whole.withColumn("_solid", solid("text")))
+    return cut.groupBy("doc_id", "section_key").agg(
+        (F.max(F.char_length("text")) <= 1000).alias("within_size"),
+        F.bool_and(F.contains("_whole", "text")).alias("from_section"),
+        F.bool_or(first & F.startswith("_whole", "text")).alias("starts_at_head"),
+        F.bool_or(last & F.endswith("_whole", "text")).alias("ends_at_tail"),
+        (F.sum(solid("text")) >= F.max("_solid")).alias("nothing_lost"))
+
+
 @query("tx05_chunk_metadata", """SELECT doc_id, source, chunk_index, total_chunks, md5(text) AS text_md5 FROM (
  SELECT doc_id, ticker || '_' || period_of_report AS source, CAST(greatest(ceil(length(text) / 800.0), 1) AS INT) AS total_chunks,
   unnest(range(CAST(greatest(ceil(length(text) / 800.0), 1) AS INT))) AS chunk_index, substr(text, chunk_index * 800 + 1, 1000) AS text FROM t_texts)""")
