@@ -44,12 +44,19 @@ def ml_scores(t):
     return fusion.model_scores(t.decisions, t.companies)
 
 
-def graph(t):
-    companies = G.company_nodes(t.companies, ml_scores(t), t.decisions)
+def graph(t, ml=None):
+    companies = G.company_nodes(t.companies, ml_scores(t) if ml is None else ml, t.decisions)
     ties = cut_lineage(t.relationships)  # read by nodes and edges
     return G.build_nodes(companies, t.auditors, ties), G.build_edges(companies, t.auditors, ties)
 
 
+def audit_graph(t):
+    """Companies and their auditors alone: what reads no ties need not work them out."""
+    companies = G.company_nodes(t.companies, ml_scores(t), t.decisions)
+    none = t.spark.createDataFrame([], t.relationships.schema)
+    return G.build_nodes(companies, t.auditors, none), G.build_edges(companies, t.auditors, none)
+
+
 def kept_graph(t):
     """The graph of the iterative jobs, stored once for all their rounds."""
     nodes, edges = graph(t)
@@ -103,18 +110,18 @@ _PAIRS = "(SELECT a.src AS company_a, b.src AS company_b, a.dst FROM edges a JOI
  FROM nodes n JOIN (SELECT dst, count(*) AS clients, avg(k.ml_risk_score) AS r FROM edges e JOIN nodes k ON k.id = e.src WHERE edge_type = 'AUDITED_BY' GROUP BY dst) c ON c.dst = n.id
  LEFT JOIN (SELECT p.dst, count(*) AS pairs, avg((x.ml_risk_score + y.ml_risk_score) / 2) AS r FROM {_PAIRS} p JOIN nodes x ON x.id = company_a JOIN nodes y ON y.id = company_b GROUP BY p.dst) p ON p.dst = n.id""")
 def _(t):
-    return rounded(G.auditor_groups(*graph(t)), 4)
+    return rounded(G.auditor_groups(*audit_graph(t)), 4)
 
 
 @query("jn10_top_auditor_pairs", f"""SELECT x.ticker AS ticker_a, y.ticker AS ticker_b, n.name AS shared_auditor, x.ml_risk_score AS risk_a, y.ml_risk_score AS risk_b, {rnd('(x.ml_risk_score + y.ml_risk_score) / 2', 4)} AS avg_risk
  FROM {_PAIRS} p JOIN nodes x ON x.id = company_a JOIN nodes y ON y.id = company_b JOIN nodes n ON n.id = p.dst ORDER BY (x.ml_risk_score + y.ml_risk_score) / 2 DESC, company_a, company_b, p.dst LIMIT 50""")
 def _(t):
-    return rounded(G.top_auditor_pairs(*graph(t)), 4)
+    return rounded(G.top_auditor_pairs(*audit_graph(t)), 4)
 
 
 @query("jn10_partners_of_company", f"SELECT '0000000007' AS company_a, CASE WHEN company_a = '0000000007' THEN company_b ELSE company_a END AS company_b, dst AS shared_auditor_id FROM {_PAIRS} WHERE '0000000007' IN (company_a, company_b)")
 def _(t):
-    return G.partners_of(graph(t)[1], "0000000007")
+    return G.partners_of(audit_graph(t)[1], "0000000007")
 
 
 @query("jn11_neighbours", "SELECT n.id AS neighbour_id, edge_type AS relationship, n.ml_risk_score AS neighbour_risk FROM (SELECT dst AS id, edge_type FROM edges WHERE src = '0000000007' UNION ALL SELECT src, edge_type FROM edges WHERE dst = '0000000007') e JOIN nodes n ON n.id = e.id")
@@ -133,7 +140,8 @@ def _(t):
 
 @query("tk03_high_risk", "SELECT id AS cik, ticker, name AS company_name, ml_risk_score, risk_tier FROM nodes WHERE node_type = 'Company' AND ml_risk_score >= 50 ORDER BY ml_risk_score DESC, id LIMIT 20")
 def _(t):
-    return G.high_risk(graph(t)[0], 50.0, 20)
+    # companies known from ties alone have no score, so they are below the threshold
+    return G.high_risk(audit_graph(t)[0], 50.0, 20)
 
 
 @query("tk07_top_nodes", "SELECT id AS cik, ticker, name AS company_name, ml_risk_score, risk_tier FROM nodes WHERE node_type = 'Company' AND ml_risk_score >= 0 ORDER BY ml_risk_score DESC, id LIMIT 10")
@@ -272,9 +280,9 @@ def conformity(t):
     return company_conformity(t.facts, t.companies)
 
 
-def final_scores(t):
-    risk = G.neighbour_risk(*graph(t)).where("node_type = 'Company'").select(F.col("id").alias("cik"), "network_risk_score")
-    return fusion.final_scores(ml_scores(t), conformity(t), risk)
+def final_scores(t, ml=None, digits=None):
+    risk = G.neighbour_risk(*graph(t, ml)).where("node_type = 'Company'").select(F.col("id").alias("cik"), "network_risk_score")
+    return fusion.final_scores(ml_scores(t) if ml is None else ml, conformity(t) if digits is None else digits, risk)
 
 
 @query("gr12_final_scores", "SELECT * FROM final")
@@ -291,7 +299,9 @@ _WIDE = f"""SELECT f.cik, f.ticker, f.company_name, f.ml_risk_score, f.benford_r
 def wide(t):
     from riskweave.catalog.mart_queries import candidates
 
-    return fusion.wide_scores(final_scores(t), ml_scores(t), conformity(t), candidates(t))
+    # model scores and digit tests are worked out once, then read by the fusion and by the wide table
+    ml, digits = cut_lineage(ml_scores(t)), cut_lineage(conformity(t))
+    return fusion.wide_scores(final_scores(t, ml, digits), ml, digits, candidates(t))
 
 
 @query("jn06_wide_scores", _WIDE)
