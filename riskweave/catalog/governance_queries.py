@@ -263,6 +263,12 @@ def _(t):
     return rounded(told.join(bounds, "week").withColumn("p90_within_error", inside | (F.col("_n") < 50)).drop("p90_score", "p0", "p1", "_n"), 4)
 
 
+@query("src18_brief_lookup", "SELECT doc_id AS cik, text AS brief FROM documents WHERE doc_id = 7")
+def _(t):
+    briefs = t.raw("documents").select(F.col("doc_id").alias("cik"), F.col("text").alias("brief"))
+    return R.brief_of(briefs, 7)
+
+
 # --- bias ------------------------------------------------------------------------------------------------------
 
 CTES["bias_long"] = "SELECT 'industry_group' AS dimension, industry_group AS grp, final_risk_score AS score FROM t_scored UNION ALL SELECT 'state_of_incorporation', state_of_incorporation, final_risk_score FROM t_scored UNION ALL SELECT 'final_risk_tier', final_risk_tier, final_risk_score FROM t_scored"

@@ -114,6 +114,27 @@ def _(t):
     return T.company_tone(t.filing_texts.select("ticker", "text"), "ticker")
 
 
+@query("tx07_tone_samples", """SELECT ticker, lang, sample_of, md5(sample) AS sample_md5 FROM (
+ SELECT ticker, lang, CASE WHEN risk IS NULL THEN 'start' ELSE 'risk_factors' END AS sample_of, coalesce(risk, opening) AS sample FROM (
+  SELECT ticker, lang, arg_min(text, doc_id) FILTER (section_key = 'risk_factors') AS risk, left(string_agg(text, ' ' ORDER BY doc_id, section_key), 3000) AS opening
+  FROM (SELECT sec.*, lang FROM sec JOIN documents USING (doc_id)) GROUP BY ticker, lang))""")
+def _(t):
+    found = T.sections(t.filing_texts.select("doc_id", "ticker", "lang", "text"))
+    return T.tone_sample(found, ["ticker", "lang"], ["doc_id", "section_key"]).select("ticker", "lang", "sample_of", F.md5("sample").alias("sample_md5"))
+
+
+@query("tx12_tone_evidence", f"""SELECT f.cik, printf('Language risk %.1f, going concern %s, restatement %s, legal risk %s', coalesce(language_risk_score, 0), CASE WHEN going_concern_detected THEN 'True' ELSE 'False' END,
+ CASE WHEN restatement_risk THEN 'True' ELSE 'False' END, CASE WHEN legal_risk_detected THEN 'True' ELSE 'False' END) AS last_line FROM final f LEFT JOIN (SELECT lpad(CAST(doc_id AS VARCHAR), 10, '0') AS cik, {_TONE} FROM scan) s ON s.cik = f.cik""")
+def _(t):
+    """Evidence sheets that end with the tone of the company's filings."""
+    from riskweave.catalog.graphs import wide
+    from riskweave.plans.fusion import evidence_sheets
+
+    # filings of companies that are not scored are left out before their texts are read for phrases
+    texts = t.filing_texts.select("cik", "text").join(t.companies.select("cik"), "cik", "left_semi")
+    return evidence_sheets(wide(t), T.company_tone(texts, "cik")).select("cik", F.element_at(F.split("evidence", "\n"), -1).alias("last_line"))
+
+
 @query("tx08_unseen_chunks", "SELECT doc_id, source FROM (SELECT doc_id, ticker || '_' || period_of_report AS source FROM t_texts) WHERE source NOT IN (SELECT source || '_P' || doc_id FROM documents WHERE lang = 'en')")
 def _(t):
     chunks = T.stride_chunks(t.filing_texts.select("doc_id", "ticker", "period_of_report", "text"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions import constants as K
@@ -193,6 +193,29 @@ def company_tone(docs: DataFrame, key: str, risk: dict[str, list[str]] = K.RISK_
     return tone(scan.groupBy(key).agg(F.count(F.lit(1)).alias("texts"), *[F.sum(c).alias(c) for c in counts]), list(risk))
 
 
+def tone_sample(texts: DataFrame, keys: Sequence[str], order: Sequence[str], section: str = "risk_factors", chars: int = 3000, slices: int = 64) -> DataFrame:
+    """The text that stands for a company's tone: its first section of the given kind, whole, else the start of all its texts.
+
+    Texts follow `order`, which must tell the rows of a company apart, and are joined by a space; null texts are left out.
+    Each joined text adds a character or more, so no more than `chars` + 1 of them are needed: they are found by slices of a
+    company first, and only their starts are moved. Of the sections, places are compared and one text is fetched.
+    """
+    held = texts.where("text IS NOT NULL")
+    place = F.struct(*order)
+    chosen = held.where(F.col("section_key") == section).groupBy(*keys).agg(F.min(place).alias("_at")).select(*keys, "_at.*")
+    whole = held.where(F.col("section_key") == section).join(chosen, [*keys, *order]).select(*keys, "text")
+    starts = held.select(*keys, *order, F.left("text", F.lit(chars)).alias("text")).withColumn("_slice", F.pmod(F.xxhash64(*order), F.lit(slices)))
+    near = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    first = Window.partitionBy(*keys).orderBy(*order)
+    few = starts.withColumn("_n", F.row_number().over(near)).where(F.col("_n") <= chars + 1)
+    before = F.coalesce(F.sum(F.char_length("text") + 1).over(first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    used = few.withColumn("_before", before).where(F.col("_before") <= chars)
+    joined = used.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*order, "text"))).alias("_t"))
+    start = joined.select(*keys, F.left(F.array_join("_t.text", " "), F.lit(chars)).alias("_start"))
+    both = start.join(whole, list(keys), "left")
+    return both.select(*keys, F.when(F.col("text").isNull(), "start").otherwise(section).alias("sample_of"), F.coalesce("text", "_start").alias("sample"))
+
+
 def unseen(chunks_df: DataFrame, indexed: DataFrame) -> DataFrame:
     """Chunks whose source is not in the index yet."""
     return chunks_df.join(indexed.select("source").distinct(), "source", "left_anti")

@@ -68,8 +68,16 @@ def signal_summary() -> Column:
     return F.when(F.size(told) > 0, F.array_join(told, "\n")).otherwise("  • No individual signals triggered")
 
 
-def evidence_sheets(wide: DataFrame) -> DataFrame:
-    """The numbers behind a company's brief as text."""
+def tone_line() -> Column:
+    """The tone of a company's filings as a text line; a company without filing texts has none of the marks."""
+    mark = lambda c: F.when(F.col(c), "True").otherwise("False")
+    return F.format_string(
+        "Language risk %.1f, going concern %s, restatement %s, legal risk %s", F.coalesce("language_risk_score", F.lit(0.0)),
+        mark("going_concern_detected"), mark("restatement_risk"), mark("legal_risk_detected"))
+
+
+def evidence_sheets(wide: DataFrame, tone: DataFrame | None = None) -> DataFrame:
+    """The numbers behind a company's brief as text; with `tone`, one row per company, its filing tone at the end."""
     lines = [
         F.format_string("%s (%s)", "company_name", "ticker"),
         F.format_string("Final score %.1f/100, tier %s", "final_risk_score", "final_risk_tier"),
@@ -78,4 +86,7 @@ def evidence_sheets(wide: DataFrame) -> DataFrame:
         F.format_string("Network risk %.1f", "network_risk"),
         signal_summary(),
     ]
+    if tone is not None:
+        wide = wide.join(tone.select("cik", "language_risk_score", "going_concern_detected", "restatement_risk", "legal_risk_detected"), "cik", "left")
+        lines.append(tone_line())
     return wide.select("cik", "company_name", F.col("final_risk_score").alias("risk_score"), F.concat_ws("\n", *lines).alias("evidence"))

@@ -184,3 +184,7 @@ def brief_previews(briefs: DataFrame, chars: int = 200) -> DataFrame:
     """Start of each brief for the list page; the whole text stays in the table."""
     return briefs.withColumn("preview", F.left("brief", F.lit(chars))).drop("brief").orderBy(F.desc("risk_score"), "cik")
 
+
+def brief_of(briefs: DataFrame, cik) -> DataFrame:
+    """The whole brief of one company; the id reaches the scan of a stored table."""
+    return briefs.where(F.col("cik") == F.lit(cik)).select("cik", "brief")

@@ -112,3 +112,26 @@ def test_contexts(spark):
     rows = {r["query_id"]: r["context"] for r in V.contexts(hits, spark.range(1, 4).selectExpr("cast(id as int) query_id")).collect()}
     assert rows[1] == "[1] A | 10-K | Period: 2023 | MD&A\ntext a\n\n---\n\n[2] B | 10-K | Period: 2023 | MD&A\ntext b"
     assert rows[2] == rows[3] == "No relevant filing excerpts found."
+
+
+def test_tone_samples(spark):
+    from riskweave.operators.text import tone_sample
+
+    rows = [("a", 1, "business", "b" * 5000), ("a", 2, "risk_factors", "second"), ("a", 3, "risk_factors", "third"), ("a", 0, "risk_factors", None),
+            ("b", 1, "full", "one"), ("b", 2, "full", ""), ("b", 3, "full", "x" * 2990), ("b", 4, "full", "cut here"), ("c", 1, "full", ""), ("d", 1, "full", None)]
+    rows += [("hot", i, "full", "") for i in range(5000)] + [("hot", 5000, "full", "never reached")]
+    got = {r.k: (r.sample_of, r.sample) for r in tone_sample(spark.createDataFrame(rows, "k string, n int, section_key string, text string"), ["k"], ["n"]).collect()}
+    assert got["a"] == ("risk_factors", "second") and got["c"] == ("start", "") and "d" not in got
+    assert got["b"] == ("start", ("one  " + "x" * 2990 + " cut here")[:3000]) and got["hot"] == ("start", " " * 3000)
+
+
+def test_evidence_with_tone(spark):
+    from pyspark.sql import functions as F
+
+    from riskweave.plans.fusion import tone_line
+
+    rows = [(12.34, True, False, None), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "language_risk_score double, going_concern_detected boolean, restatement_risk boolean, legal_risk_detected boolean")
+    assert [r[0] for r in df.select(tone_line()).collect()] == [
+        "Language risk 12.3, going concern True, restatement False, legal risk False", "Language risk 0.0, going concern False, restatement False, legal risk False"]
+    assert df.select(F.lit(1)).count() == 2
