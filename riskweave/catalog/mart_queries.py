@@ -329,9 +329,9 @@ def _(t):
 @query("ml02_robust_scaled", "SELECT cik, " + ", ".join(
     f"{rnd(f'({f} - (SELECT median({f}) FROM features)) / coalesce(nullif((SELECT quantile_cont({f}, 0.75) - quantile_cont({f}, 0.25) FROM features), 0), 1)', 5)} AS {f}" for f in K.FEATURES) + " FROM features")
 def _(t):
-    from riskweave.plans.features import scale
+    from riskweave.plans.features import apply_scaler, fit
 
-    return rounded(scale(feature_matrix(t), K.FEATURES).select("cik", *K.FEATURES), 5)
+    return rounded(apply_scaler(*fit(candidates(t))).select("cik", *K.FEATURES), 5)
 
 
 @query("ml08_trend_slopes", f"""SELECT cik, {', '.join(f"{rnd(f'coalesce(regr_slope(coalesce({c}, med_{c}, 0), x), 0)', 5)} AS {o}" for c, o in [('gross_margin', 'gm_slope_4q'), ('operating_margin', 'om_slope_4q'), ('ar_to_revenue', 'ar_slope_4q'), ('revenues', 'revenue_slope_4q'), ('total_signal_count', 'signal_count_trend')])}

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from riskweave.session import cut_lineage
 
 RANGES = 1024
+HEAVY = 1024  # a value held by more than one in so many rows is joined by broadcast: there are fewer of them than this
 
 
 def _monotone(c: Column) -> Column:
@@ -98,16 +99,43 @@ def percentile_row(df: DataFrame, values: Sequence[str], probs: Sequence[float])
     ])
 
 
+def order_statistics(placed: DataFrame, at: dict[str, Column]) -> DataFrame:
+    """metric, total and, for each named position (counted from 0), <name> and <name>_before: the value there and the rows below it.
+
+    Positions are expressions of `total`; those outside the rows give nulls.
+    """
+    aggs = [F.max("total").alias("total")]
+    for name, pos in at.items():
+        holds = (F.col("before") <= pos) & (pos < F.col("before") + F.col("cnt"))
+        aggs += [F.max(F.when(holds, F.col(c))).alias(o) for c, o in (("value", name), ("before", f"{name}_before"))]
+    return placed.groupBy("metric").agg(*aggs)
+
+
 def mean_rank(df: DataFrame, value: str, out: str = "mean_rank", total: str = "n_rows") -> DataFrame:
-    """Add the ascending rank (ties share their mean rank) and the row count."""
-    placed = with_positions(value_counts(df, [], [value]), [])
+    """Add the ascending rank (ties share their mean rank) and the row count.
+
+    Values held by very many rows are few and are broadcast. Their rows keep out of the join of the other values: there
+    they carry a mark of their own, taken from the other columns where these tell them apart, and meet nothing.
+    """
+    placed = cut_lineage(with_positions(value_counts(df, [], [value]), []))
     ranks = placed.select(
         F.col("value").alias("_v"),
-        (F.col("before") + (F.col("cnt") + 1) / F.lit(2.0)).alias(out),
-        F.col("total").alias(total),
+        F.lit(0).alias("_mark"),
+        (F.col("before") + (F.col("cnt") + 1) / F.lit(2.0)).alias("_rank"),
+        F.col("total").alias("_total"),
+        (F.col("cnt") * HEAVY > F.col("total")).alias("_heavy"),
     )
+    heavy = ranks.where("_heavy").select(F.col("_v").alias("_hv"), F.col("_rank").alias("_hrank"), F.col("_total").alias("_htotal"))
+    light = ranks.where("NOT _heavy").drop("_heavy")
     key = F.when(F.col(value) == 0, F.lit(0.0)).otherwise(F.col(value).cast("double"))
-    return df.join(ranks, key == F.col("_v"), "left").drop("_v")
+    plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    spread = F.pmod(F.xxhash64(*plain), F.lit(HEAVY)).cast("int") + 1
+    met = df.withColumn("_key", key).join(F.broadcast(heavy), F.col("_key") == F.col("_hv"), "left")
+    apart = F.col("_hv").isNotNull() | F.col("_key").isNull()
+    met = met.withColumns({"_at": F.when(apart, spread).otherwise(0), "_key": F.coalesce("_key", F.lit(0.0))})
+    joined = met.join(light, (F.col("_key") == F.col("_v")) & (F.col("_at") == F.col("_mark")), "left")
+    both = {out: F.coalesce("_hrank", "_rank"), total: F.coalesce("_htotal", "_total")}
+    return joined.select(*df.columns, *[c.alias(n) for n, c in both.items()])
 
 
 def row_numbers(df: DataFrame, order: Sequence[Column], out: str, within: Sequence[str] = ()) -> DataFrame:

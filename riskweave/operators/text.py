@@ -152,7 +152,9 @@ def with_chunk_labels(listed: DataFrame, column: str, others: Sequence[str]) ->
 
 
 def _mentions(text: Column, phrases: Sequence[str]) -> list[Column]:
-    return [F.regexp_count(text, F.lit("\\Q" + p.lower() + "\\E")) for p in phrases]
+    """Occurrences of each phrase; a text is only taken apart for phrases that its bytes hold."""
+    low = [p.lower() for p in phrases]
+    return [F.when(F.contains(text, F.lit(p)), F.regexp_count(text, F.lit("\\Q" + p + "\\E"))).otherwise(0) for p in low]
 
 
 def lexicon_scan(docs: DataFrame, risk: dict[str, list[str]] = K.RISK_PHRASES, positive: Sequence[str] = tuple(K.POSITIVE_PHRASES)) -> DataFrame:

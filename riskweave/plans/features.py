@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskweave.functions import constants as K
 from riskweave.functions.exprs import clamp
-from riskweave.functions.order_stats import percentile_row
+from riskweave.functions.order_stats import order_statistics, percentile_row, value_counts, with_positions
 from riskweave.session import cut_lineage
 
 META = ["cik", "ticker", "company_name", "industry_group", "risk_tier", "pre_ml_risk_score"]
@@ -27,25 +28,80 @@ def _number(c: str) -> Column:
     return F.when(~F.isnan(v), v)
 
 
-def build(candidates: DataFrame) -> DataFrame:
-    """Counts: null -> 0. Ratios: null -> median, then clipped at the 1st and 99th percentile.
+CUTS, QUARTILES = (0.01, 0.99), (0.25, 0.5, 0.75)
+
+
+def _places(n: int, p: float) -> tuple[int, int, float]:
+    """Positions around a percentile of n sorted values, and the weight of the upper one."""
+    at = (n - 1) * p
+    return math.floor(at), math.ceil(at), at - math.floor(at)
+
+
+def _between(low: float, high: float, weight: float) -> float:
+    return low + (high - low) * weight
+
+
+class _Filled:
+    """Percentiles of a column whose nulls became its median, from a row of order statistics of its known values."""
+
+    def __init__(self, row, n: int) -> None:
+        self.row, self.n, self.known = row, n, row["total"]
+        self.median = _between(row["mid_lo"], row["mid_hi"], _places(self.known, 0.5)[2])
+        self.below = row["mid_lo_before"] if self.median <= row["mid_lo"] else row["mid_hi_before"]
 
-    The clip points are those of the filled column. Like any fitted transformer, the two
-    passes bring a single row of statistics to the driver.
+    def value(self, name: str, position: int) -> float:
+        """The value at a position: known ones below the median, the filled ones, the other known ones."""
+        if position < self.below:
+            return self.row[name]
+        return self.median if position < self.below + self.n - self.known else self.row[f"{name}_behind"]
+
+    def percentile(self, p: float, cut: tuple[float, float] | None = None) -> float:
+        lo, hi, weight = _places(self.n, p)
+        ends = self.value(f"lo_{p}", lo), self.value(f"hi_{p}", hi)
+        if cut:
+            ends = tuple(max(min(v, cut[1]), cut[0]) for v in ends)
+        return _between(*ends, weight)
+
+
+def fit(candidates: DataFrame) -> tuple[DataFrame, dict[str, tuple[float, float]]]:
+    """The feature matrix and its scaler from one table of sorted values.
+
+    Filling with the median moves known values by the number of nulls, and clipping keeps their order, so the clip points
+    of the filled column and the quartiles of the clipped one follow from order statistics of the known values. Like any
+    fitted transformer this brings statistics to the driver, a row a feature.
     """
     present, _ = available(candidates)
     counts = [c for c in present if c in K.COUNT_FEATURES]
     ratios = [c for c in present if c not in counts]
-    # one row per company, read by both statistics passes and the result
+    # one row per company, read by the statistics and the result
     base = cut_lineage(candidates.select(
         *[c for c in META if c in candidates.columns],
         *[F.coalesce(_number(c), F.lit(0.0)).alias(c) for c in counts],
         *[_number(c).alias(c) for c in ratios],
     ))
-    med = percentile_row(base, ratios, [0.5]).first()
-    filled = base.withColumns({c: F.coalesce(F.col(c), F.lit(med[f"{c}_p0"])) for c in ratios})
-    cut = percentile_row(filled, ratios, [0.01, 0.99]).first()
-    return filled.withColumns({c: clamp(c, F.lit(cut[f"{c}_p0"]), F.lit(cut[f"{c}_p1"])) for c in ratios})
+    n = base.count()
+    at = {"mid_lo": F.floor((F.col("total") - 1) * F.lit(0.5)), "mid_hi": F.ceil((F.col("total") - 1) * F.lit(0.5))}
+    for p in (*CUTS, *QUARTILES):
+        for name, position in zip((f"lo_{p}", f"hi_{p}"), _places(n, p)[:2], strict=True):
+            at |= {name: F.lit(position), f"{name}_behind": F.lit(position) - (F.lit(n) - F.col("total"))}
+    # `total` is that of the metric in every row
+    placed = with_positions(value_counts(base, [], present), [])
+    known = {r["metric"]: _Filled(r, n) for r in order_statistics(placed, at).collect()}
+    fill = {c: F.lit(known[c].median if c in known else None).cast("double") for c in ratios}
+    cut = {c: tuple(known[c].percentile(p) for p in CUTS) for c in ratios if c in known}
+    features = base.withColumns({c: F.coalesce(F.col(c), fill[c]) for c in ratios})
+    features = features.withColumns({c: clamp(c, F.lit(lo), F.lit(hi)) for c, (lo, hi) in cut.items()})
+    fitted = {}
+    for c in present:
+        if c in known:
+            low, mid, high = (known[c].percentile(p, cut.get(c)) for p in QUARTILES)
+            fitted[c] = (mid, (high - low) or 1.0)
+    return features, fitted
+
+
+def build(candidates: DataFrame) -> DataFrame:
+    """Counts: null -> 0. Ratios: null -> median, then clipped at the 1st and 99th percentile of the filled column."""
+    return fit(candidates)[0]
 
 
 def scaler(features: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:

@@ -9,7 +9,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.functions import constants as K
 from riskweave import schemas as S
 from riskweave.operators import explain, forest, governance
 from riskweave.plans import features as feats
@@ -38,10 +37,10 @@ class Scored:
 
 def train(candidates: DataFrame, trees: int = 200, seed: int = 42, contamination: float = 0.10) -> Scored | None:
     """Fit and score; None for an empty input."""
-    matrix = cut_lineage(feats.build(candidates))
+    built, fitted = feats.fit(candidates)
+    matrix = cut_lineage(built)
     if matrix.isEmpty():
         return None
-    fitted = feats.scaler(matrix, K.FEATURES)
     used = list(fitted)
     scaled = cut_lineage(feats.apply_scaler(matrix, fitted))
     grown = forest.fit(scaled, used, trees=trees, seed=seed)
