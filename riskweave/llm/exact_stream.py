@@ -2,7 +2,8 @@
 
 The table is read as a stream of files. The state, held on disk (RocksDB) and checkpointed in the shared folder, never
 expires; for each digest it keeps the row that stays (length, identifier) with its place (file and row number) and the
-number of rows seen. Afterwards rows that met a digest already held are compared with the row at that place byte by byte.
+number of rows seen. Afterwards rows that met a digest already held are compared byte by byte, by the least and greatest bytes
+of a digest, so that no task gathers the rows of a common text.
 Only DataFrame functions run on the executors.
 """
 
@@ -93,11 +94,13 @@ def deduplicate(spark: SparkSession, path: str, digest=sha256, files_per_batch:
     here = (F.col("file") == F.col("keep_file")) & (F.col("row") == F.col("keep_row"))
 
     # bytes of every row that hit a held digest against those of the row it met
-    wanted = met.filter("seen > 1").select("file", "row", "digest", "keep_file", "keep_row")
+    wanted = met.filter("seen > 1").select("file", "row", "digest")
     text = spark.read.parquet(path).select(normalised(F.col("text")).alias("bytes"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    hits = cut_lineage(text.join(wanted, ["file", "row"]))
-    held_bytes = hits.filter(here).select("digest", F.col("bytes").alias("held_bytes"))
-    wrong = hits.join(held_bytes, "digest").filter(F.col("bytes") != F.col("held_bytes")).select("digest").distinct()
+    hits = text.join(wanted, ["file", "row"])
+    # the held row is among them, so all bytes are its bytes when the least equals the greatest; a common text leaves each
+    # task as one row
+    ends = hits.groupBy("digest").agg(F.min("bytes").alias("least"), F.max("bytes").alias("greatest"))
+    wrong = ends.filter(F.col("least") != F.col("greatest")).select("digest")
     wrong = cut_lineage(wrong)
     out = met.select("doc_id", "keep_id", F.col("seen").alias("group_size"), here.alias("kept"), "text_sha256", "digest")
     if not wrong.limit(1).count():
