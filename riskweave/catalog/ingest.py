@@ -175,6 +175,21 @@ def _(t):
     return out.select("id", "cik", "concept", "label", "value")
 
 
+@query("src10_compacted_facts", """SELECT id, concept, label, value, filed FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY filed DESC, value DESC) AS rn,
+  first_value(acc) OVER (PARTITION BY id ORDER BY filed, value) AS label FROM (SELECT md5(cik || '|' || concept || '|' || period_end) AS id, cik, concept, value, filed, 'L' || CAST(filed AS VARCHAR) || value AS acc FROM t_facts)) WHERE rn = 1""")
+def _(t):
+    from riskweave.functions.exprs import strict_key
+
+    f = t.facts.select(strict_key("cik", "concept", "period_end").alias("id"), "concept", F.concat(F.lit("L"), F.col("filed").cast("string"), F.col("value").cast("string")).alias("label"), "value", "filed")
+    shape, rules = ", ".join(f"{c.name} {c.dataType.simpleString()}" for c in f.schema), dict(keys=["id"], keep=["label"], order=["filed", "value"])
+    path = new_path(t.spark, "facts")
+    early = F.col("filed") < F.lit("1996-01-01").cast("date")
+    sinks.write_batch(f.where(early), path, 0)
+    sinks.compact(t.spark, path, shape, **rules)
+    sinks.write_batch(f.where(~early), path, 1)
+    return sinks.current_rows(t.spark, path, shape, **rules)
+
+
 @query("src11_insert_ignore", "SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS cik, CASE WHEN c_acctbal > 2000 THEN c_name ELSE upper(c_name) END AS name FROM customer")
 def _(t):
     old, new = company_versions(t)

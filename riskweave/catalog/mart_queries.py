@@ -207,6 +207,18 @@ def _(t):
     return rounded(marts.staged_metrics(facts_ops.period_metrics(t.facts), "1996-01-01"))
 
 
+@query("stg_filings", """SELECT regexp_replace(accession_number, '[^0-9A-Za-z]', '', 'g') AS accession_key, accession_number, cik, form_type AS form, false AS is_amendment,
+  filing_date, period_of_report, CAST(date_diff('day', period_of_report, filing_date) AS INT) AS days_to_file FROM t_filings""")
+def _(t):
+    return marts.staged_filings(t.filings)
+
+
+@query("stg_financial_facts", r"""SELECT cik, regexp_replace(accession_number, '[^0-9A-Za-z]', '', 'g') AS accession_key, 'us-gaap:' || concept AS tag, concept,
+  regexp_replace(concept, '([a-z0-9])([A-Z])', '\1 \2', 'g') AS concept_label, form, unit, value, period_end, filed FROM t_facts""")
+def _(t):
+    return marts.staged_facts(t.facts)
+
+
 # --- price series -------------------------------------------------------------------------------
 
 CTES["annual"] = f"""

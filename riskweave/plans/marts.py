@@ -31,6 +31,27 @@ def staged_companies(companies: DataFrame) -> DataFrame:
     return companies.withColumnsRenamed({"name": "company_name", "sic_description": "industry_group"})
 
 
+def staged_filings(filings: DataFrame) -> DataFrame:
+    """Filings under staging names: accession without separators, padded id, form in capitals without its amendment mark."""
+    form = F.upper(F.trim("form_type"))
+    return filings.select(
+        F.regexp_replace("accession_number", "[^0-9A-Za-z]", "").alias("accession_key"), "accession_number", pad_cik("cik").alias("cik"),
+        F.regexp_replace(form, "/A$", "").alias("form"), F.endswith(form, F.lit("/A")).alias("is_amendment"),
+        F.col("filing_date").cast("date").alias("filing_date"), F.col("period_of_report").cast("date").alias("period_of_report"),
+        F.date_diff(F.col("filing_date").cast("date"), F.col("period_of_report").cast("date")).alias("days_to_file"),
+    )
+
+
+def staged_facts(facts: DataFrame) -> DataFrame:
+    """Facts under staging names: the words of the concept as its label, taxonomy and concept as one tag."""
+    words = F.regexp_replace(F.col("concept"), "([a-z0-9])([A-Z])", "$1 $2")
+    return facts.select(
+        pad_cik("cik").alias("cik"), F.regexp_replace("accession_number", "[^0-9A-Za-z]", "").alias("accession_key"),
+        F.concat_ws(":", "taxonomy", "concept").alias("tag"), "concept", words.alias("concept_label"),
+        F.upper(F.trim("form")).alias("form"), "unit", "value", "period_end", "filed",
+    )
+
+
 def staged_metrics(metrics: DataFrame, start: str = K.HISTORY_START) -> DataFrame:
     """Padded ids, history start and the five null-safe ratios."""
     return metrics.where(F.col("period_end") >= F.lit(start).cast("date")).select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -111,19 +112,55 @@ def write_batch(batch: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(path)
 
 
+BASES = "upto long, folder string"
+
+
+def _newest_base(spark: SparkSession, path: str) -> tuple[int, str] | None:
+    """Last batch folded into a base table, and the folder of that table."""
+    try:
+        row = spark.read.schema(BASES).parquet(f"{path}-bases").agg(F.max(F.struct("upto", "folder")).alias("last")).first()
+    except AnalysisException:
+        return None
+    return tuple(row["last"]) if row["last"] else None
+
+
 def current_rows(spark: SparkSession, path: str, schema: str, keys: Sequence[str], keep: Sequence[str] = (), order: Sequence[str] = ()) -> DataFrame:
     """State of a table of batches: per key the row of the last batch (within it, the highest `order`), `keep` as first stored.
 
-    A table without any batch has no rows. Changes are combined per task before the shuffle; `replace_table` of the
-    state into another path drops changes that are out of date.
+    A table without any batch has no rows. Changes are combined per task before the shuffle. After `compact` only its base
+    and the batches behind it are read.
     """
+    columns = f"{schema}, {BATCH} long"
     try:
-        changes = spark.read.schema(f"{schema}, {BATCH} long").parquet(path)
+        changes = spark.read.schema(columns).parquet(path)
     except AnalysisException:
         return spark.createDataFrame([], schema)
+    if base := _newest_base(spark, path):
+        folded = spark.read.schema(schema).parquet(base[1]).withColumn(BATCH, F.lit(base[0]))
+        changes = folded.unionByName(changes.where(F.col(BATCH) > base[0]))
     return upsert_changes(changes, keys, F.struct(BATCH, *order), keep).drop(BATCH)
 
 
+def compact(spark: SparkSession, path: str, schema: str, keys: Sequence[str], keep: Sequence[str] = (), order: Sequence[str] = ()) -> int | None:
+    """Fold all batches that are there into a base table, so that reading the state costs its size and not its history.
+
+    Call it between batches, whose numbers must rise. The base becomes valid by one row written after it: a run that breaks
+    off leaves the state as it was. Folded batches stay on disk and are no longer read; a replay of one changes nothing.
+    Returns the number of the last batch folded, None where there is nothing new to fold.
+    """
+    try:
+        last = spark.read.schema(f"{schema}, {BATCH} long").parquet(path).agg(F.max(BATCH)).first()[0]
+    except AnalysisException:
+        return None
+    known = _newest_base(spark, path)
+    if last is None or known and known[0] >= last:
+        return None
+    folder = f"{path}-base-{uuid.uuid4().hex}"
+    current_rows(spark, path, schema, keys, keep, order).write.parquet(folder)
+    spark.createDataFrame([(last, folder)], BASES).coalesce(1).write.mode("append").parquet(f"{path}-bases")
+    return last
+
+
 def run_row(spark: SparkSession, run_id: str, at: datetime, status: str = "running", companies: int = 0, filings: int = 0, facts: int = 0, error: str | None = None) -> DataFrame:
     """Ledger row of a run; merged by id under the rules of `ingestion_runs`, the start stays and the rest follows."""
     ended = at if status in ("completed", "failed") else None

@@ -2,6 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from riskweave.plans import marts
 from riskweave.sources import files, sinks
 from riskweave.streaming import jobs as J
 
@@ -48,6 +49,35 @@ def test_batches_merge_and_a_replay_changes_nothing(spark, tmp_path):
     assert len(state()) == 21
 
 
+def test_compacted_table_reads_its_base_and_later_batches(spark, tmp_path):
+    path, schema, rules = str(tmp_path / "t"), "id long, v int, made int", dict(keys=["id"], keep=["made"], order=["v"])
+    state = lambda: sorted(map(tuple, sinks.current_rows(spark, path, schema, **rules).collect()))
+    assert sinks.compact(spark, path, schema, **rules) is None and state() == []
+    batches = [[(i, 0, 1) for i in range(5)], [(1, 5, 9), (1, 4, 8), (7, 1, 1)], [(1, 2, 7), (2, 3, 7)], []]
+    sinks.write_batch(spark.createDataFrame(batches[0], schema), path, 0)
+    sinks.write_batch(spark.createDataFrame(batches[1], schema), path, 1)
+    before = state()
+    assert sinks.compact(spark, path, schema, **rules) == 1 and sinks.compact(spark, path, schema, **rules) is None
+    assert state() == before == [(0, 0, 1), (1, 5, 1), (2, 0, 1), (3, 0, 1), (4, 0, 1), (7, 1, 1)]
+    sinks.write_batch(spark.createDataFrame(batches[1], schema), path, 1)  # a replay of a folded batch
+    assert state() == before
+    sinks.write_batch(spark.createDataFrame(batches[2], schema), path, 2)
+    after = [(0, 0, 1), (1, 2, 1), (2, 3, 1), (3, 0, 1), (4, 0, 1), (7, 1, 1)]
+    assert state() == after
+    assert sinks.compact(spark, path, schema, **rules) == 2 and state() == after
+    plan = sinks.current_rows(spark, path, schema, **rules)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(batch_id" in plan  # folded batches are not read
+
+
+def test_staged_filings_and_facts(spark):
+    filings = spark.createDataFrame([(" 0001-23-4", "7", " 10-k/a ", "2024-02-10", "2023-12-31"), (None, None, None, None, None)], "accession_number string, cik string, form_type string, filing_date string, period_of_report string")
+    got = marts.staged_filings(filings).select("accession_key", "cik", "form", "is_amendment", "days_to_file").collect()
+    assert tuple(got[0]) == ("0001234", "0000000007", "10-K", True, 41)
+    facts = spark.createDataFrame([("7", "a-1", "us-gaap", "NetIncomeLoss", "10-q", "USD", 1.0, None, None)], "cik string, accession_number string, taxonomy string, concept string, form string, unit string, value double, period_end date, filed date")
+    row = marts.staged_facts(facts).first()
+    assert (row["tag"], row["concept_label"], row["form"], row["accession_key"]) == ("us-gaap:NetIncomeLoss", "Net Income Loss", "10-Q", "a1")
+
+
 def test_run_ledger(spark):
     t = lambda h: dt.datetime(2024, 1, 1, h)
     ev = spark.createDataFrame([("r", t(1), "running", 1), ("r", t(2), "completed", 2), ("s", t(3), "running", 3)], "id string, at timestamp, status string, seq int")
