@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 from riskweave.llm.common import BATCH_ROWS, cut_lineage, filesystem, new_path, task_batches
 
 REVISIT_BYTES = 1000  # payloads from this size on are kept once
+HEAVY = 1024  # a payload of more than one in so many of the repeated pages is joined by broadcast: there are fewer of them than this
 RUN_BYTES = 4 << 20  # of neighbouring records read at once
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
-_TAIL = 22 + 65_535  # end record and the longest comment
+_TAIL = 20 + 22 + 65_535  # ZIP64 locator, end record and the longest comment
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 # -- reading ZIP ----------------------------------------------------------------------------------
@@ -215,9 +216,17 @@ def write_archives(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
     # small payloads go by their page, so that the join deals them out evenly
     small = F.concat(F.lit("page "), F.coalesce(F.xxhash64("page_id", "url").cast("string"), F.lit("")))
     keyed = rows.withColumn("digest", F.when(F.octet_length(payload) >= least, F.sha2(payload, 256)).otherwise(small))
-    first = keyed.filter("digest not like 'page %'").groupBy("digest").agg(F.max("page_id").alias("kept"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    refers = F.when(~F.col("kept").eqNullSafe(F.col("page_id")), F.col("kept"))
-    placed = keyed.join(first, "digest", "left").select("page_id", "url", "html", refers.alias("refers_to"))
+    first = cut_lineage(
+        keyed.filter("digest not like 'page %'").groupBy("digest").agg(F.max("page_id").alias("kept"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    )
+    # payloads shared by very many pages are few and are broadcast; their pages go by themselves in the other join
+    rows_of_first = first.agg(F.sum("n")).first()[0] or 0
+    heavy = F.col("n") * HEAVY > rows_of_first
+    common = first.filter(heavy).select("digest", F.col("kept").alias("common_kept"), F.lit(True).alias("common"))
+    met = keyed.join(F.broadcast(common), "digest", "left").withColumn("digest", F.when(F.col("common"), small).otherwise(F.col("digest")))
+    refers_to = F.coalesce("common_kept", "kept")
+    refers = F.when(~refers_to.eqNullSafe(F.col("page_id")), refers_to)
+    placed = met.join(first.filter(~heavy).select("digest", "kept"), "digest", "left").select("page_id", "url", "html", refers.alias("refers_to"))
     # a package for each task of the join; no further shuffle of the pages
     return cut_lineage(placed.mapInArrow(_write(folder), "path string, n long, size long"))
 
