@@ -90,6 +90,28 @@ def test_betweenness_matches_brandes(spark, max_states):
     assert got == pytest.approx({x: v / ((n - 1) * (n - 2)) for x, v in want.items()})
 
 
+def test_betweenness_of_held_and_joined_links_agree(spark):
+    _, edges, nodes, df = graph(spark, 40, 90, seed=8)
+    links = df.select("src", "dst").distinct()
+    sources = links.select(N.F.col("src").alias("id")).distinct()
+    rows = lambda part: {r["id"]: (r["delta"], r["squares"]) for r in part.collect()}
+    held, joined = rows(N._walker(links, 10**6)(sources)), rows(N._dependencies(sources, links))
+    assert held.keys() == joined.keys() and max(d for d, _ in joined.values()) > 1
+    assert all(held[k] == pytest.approx(joined[k]) for k in joined)
+    assert N._walker(links, len(edges) - 1) is None
+
+
+def test_betweenness_of_a_cycle_takes_few_jobs(spark):
+    n = 40
+    edges = spark.createDataFrame([(f"c{i:02d}", f"c{(i + 1) % n:02d}") for i in range(n)], "src string, dst string")
+    nodes = edges.select(N.F.col("src").alias("id"))
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    got = {r["id"]: r["betweenness"] for r in N.betweenness(nodes, edges).collect()}
+    # a join of levels takes several jobs a level, of which a cycle has as many as nodes
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - len(before) < n
+    assert got == pytest.approx(dict.fromkeys(got, 0.5)) and len(got) == n
+
+
 def test_louvain_beats_components(spark):
     rng = np.random.default_rng(0)
     blocks = [[f"{c}{i}" for i in range(8)] for c in "abc"]
