@@ -10,7 +10,7 @@ from riskweave.functions.order_stats import percentiles
 from riskweave.operators import explain, governance, sketches
 from riskweave.operators import monitoring as M
 from riskweave.plans import reports as R
-from riskweave.session import new_path
+from riskweave.session import new_path, spread_by
 
 AS_OF = datetime(2024, 1, 31)
 _AS_OF = "TIMESTAMP '2024-01-31'"
@@ -341,8 +341,10 @@ SELECT cik, feature_name, friendly_name, {rnd('e', 6)} AS shap_value, v AS featu
 
 
 def effects(t):
-    wide = t.raw("customer").select(
-        F.lpad(F.col("c_custkey").cast("string"), 10, "0").alias("cik"),
+    # a company becomes a row a feature: companies are spread first, as a small file is read by one task
+    spread = spread_by(t.raw("customer").withColumn("cik", F.lpad(F.col("c_custkey").cast("string"), 10, "0")).select("cik", "c_custkey", "c_acctbal"), "cik")
+    wide = spread.select(
+        "cik",
         F.array(*[(F.col("c_custkey") * (i + 3) * 37 % 201 - 100) / 100.0 for i in range(_N)]).alias("effect"),
         F.array_repeat("c_acctbal", _N).alias("value"),
     )

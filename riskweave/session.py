@@ -58,3 +58,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = new_path(df.sparkSession, "stage")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread_by(df: DataFrame, key: str, rows: int = 20_000) -> DataFrame:
+    """The rows by hash of a key, some `rows` to a task, for steps that make many rows of one."""
+    return df.repartition(max(1, -(-df.count() // rows)), key)
