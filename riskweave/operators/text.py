@@ -3,18 +3,24 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions import constants as K
+from riskweave.session import cut_lineage
 
 # Unicode white space, as one character class
 BLANK = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+# runs of white space that are not a single blank already
+UNEVEN = rf" {BLANK}+|[{BLANK}&&[^ ]]{BLANK}*"
 WORD = r"[^\s\x0b\x1c-\x1f\x{85}\p{Z}]+"
+AT_ONCE = 32  # texts that are cut into chunks together
 SEPARATORS = ("\n\n", "\n", ". ", " ", "")
 
 
@@ -28,7 +34,7 @@ def strip_html(html: Column | str) -> Column:
 
 def clean(text: Column | str) -> Column:
     """White space collapsed, rules of underscores or hyphens dropped."""
-    t = F.regexp_replace(F.col(text) if isinstance(text, str) else text, BLANK + "+", " ")
+    t = F.regexp_replace(F.col(text) if isinstance(text, str) else text, UNEVEN, " ")
     return F.trim(F.regexp_replace(F.regexp_replace(t, "_{3,}", ""), "-{3,}", ""))
 
 
@@ -76,7 +82,9 @@ def sections(docs: DataFrame, headings: Sequence[tuple[str, str, str]] = tuple(K
     if max_chars is not None:
         length = F.least(length, F.lit(max_chars))
     raw = F.substring(F.col("text"), F.col("pos") + 1, length)
-    out = cut.withColumn("text", F.when(F.col("_n") > 0, clean(raw)).otherwise(raw))
+    # as above: the filter on its length would have every text cleaned twice
+    whole = F.when(F.col("_n") > 0, clean(raw)).otherwise(raw)
+    out = cut.select(*others, "_n", "section_key", "section_name", F.explode(F.array(whole)).alias("text"))
     return out.where((F.col("_n") == 0) | (F.char_length("text") >= min_chars)).select(*others, "section_key", "section_name", "text")
 
 
@@ -90,20 +98,16 @@ def _pieces(text: str, separator: str) -> list[str]:
 
 def _pack(pieces: list[str], size: int, overlap: int) -> list[str]:
     """Runs of pieces up to `size`; the next run starts with the tail of the last, up to `overlap`."""
-    out, run, held = [], [], 0
-    for piece in pieces:
-        n = len(piece)
-        if run and held + n > size:
-            out.append("".join(run).strip())
-            drop = 0
-            while held > overlap or (held + n > size and held > 0):
-                held -= len(run[drop])
-                drop += 1
-            run = run[drop:]
-        run.append(piece)
-        held += n
-    out.append("".join(run).strip())
-    return [c for c in out if c]
+    ends = [0, *accumulate(map(len, pieces))]
+    out, start, stop = [], 0, 0
+    while True:
+        # a run holds one piece or more, and as many as fit
+        stop = max(bisect_right(ends, ends[start] + size) - 1, min(stop + 1, len(pieces)))
+        out.append("".join(pieces[start:stop]).strip())
+        if stop == len(pieces):
+            return [c for c in out if c]
+        tail = bisect_left(ends, max(ends[stop] - overlap, ends[stop + 1] - size))
+        start = min(max(start, tail), stop)
 
 
 def split_text(text: str, size: int = 1000, overlap: int = 200, separators: Sequence[str] = SEPARATORS) -> list[str]:
@@ -111,7 +115,10 @@ def split_text(text: str, size: int = 1000, overlap: int = 200, separators: Sequ
     level = next((i for i, s in enumerate(separators) if not s or s in text), len(separators) - 1)
     finer = separators[level + 1:]
     chunks, short = [], []
-    for piece in _pieces(text, separators[level]):
+    pieces = _pieces(text, separators[level])
+    if max(map(len, pieces), default=0) < size:
+        return _pack(pieces, size, overlap)
+    for piece in pieces:
         if len(piece) < size:
             short.append(piece)
             continue
@@ -124,13 +131,21 @@ def split_text(text: str, size: int = 1000, overlap: int = 200, separators: Sequ
     return chunks
 
 
+def cut_batches(batches: Iterator[pa.Array], size: int, overlap: int, separators: Sequence[str]) -> Iterator[pa.Array]:
+    """Chunks of each text; Python holds the texts and chunks of a few rows, however many come in one batch."""
+    for texts in batches:
+        for i in range(0, len(texts), AT_ONCE):
+            some = texts.slice(i, AT_ONCE).to_pylist()
+            yield pa.array([split_text(t or "", size, overlap, separators) for t in some], pa.list_(pa.string()))
+
+
 def chunks(sections_df: DataFrame, size: int = 1000, overlap: int = 200, separators: Sequence[str] = SEPARATORS) -> DataFrame:
     """One row per chunk with its index, the number of chunks and the source label."""
     seps = tuple(separators)
 
-    @F.pandas_udf("array<string>")
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: split_text(t or "", size, overlap, seps))
+    @F.arrow_udf("array<string>")
+    def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from cut_batches(batches, size, overlap, seps)
 
     others = [c for c in sections_df.columns if c != "text"]
     listed = sections_df.withColumn("_c", cut("text"))
@@ -204,9 +219,12 @@ def tone_sample(texts: DataFrame, keys: Sequence[str], order: Sequence[str], sec
     """
     held = texts.where("text IS NOT NULL")
     place = F.struct(*order)
-    chosen = held.where(F.col("section_key") == section).groupBy(*keys).agg(F.min(place).alias("_at")).select(*keys, "_at.*")
+    # the starts are stored, so that whole texts are worked out once for them and once for the sections chosen
+    kept = [*dict.fromkeys([*keys, *order, "section_key"])]
+    short = cut_lineage(held.select(*kept, F.left("text", F.lit(chars)).alias("text")))
+    chosen = short.where(F.col("section_key") == section).groupBy(*keys).agg(F.min(place).alias("_at")).select(*keys, "_at.*")
     whole = held.where(F.col("section_key") == section).join(chosen, [*keys, *order]).select(*keys, "text")
-    starts = held.select(*keys, *order, F.left("text", F.lit(chars)).alias("text")).withColumn("_slice", F.pmod(F.xxhash64(*order), F.lit(slices)))
+    starts = short.select(*keys, *order, "text").withColumn("_slice", F.pmod(F.xxhash64(*order), F.lit(slices)))
     near = Window.partitionBy(*keys, "_slice").orderBy(*order)
     first = Window.partitionBy(*keys).orderBy(*order)
     few = starts.withColumn("_n", F.row_number().over(near)).where(F.col("_n") <= chars + 1)
