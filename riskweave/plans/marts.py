@@ -9,6 +9,7 @@ from riskweave.functions import constants as K
 from riskweave.functions.exprs import guarded_ratio, pad_cik, safe_divide, tier
 from riskweave.functions.order_stats import percentiles, row_numbers
 from riskweave.operators.facts import period_metrics, with_yoy_growth
+from riskweave.session import cut_lineage
 
 SUMMARY_COLUMNS = [
     "cik", "ticker", "company_name", "industry_group", "period_end", "fiscal_year", "fiscal_quarter", "form", "revenues",
@@ -237,6 +238,7 @@ def risk_candidates(history: DataFrame, companies: DataFrame, filings: DataFrame
 
 def company_dashboard(candidates: DataFrame) -> DataFrame:
     """Trailing values and distance to the industry; industry figures are aggregated first and joined back."""
+    candidates = cut_lineage(candidates)  # read by the averages, the medians and the rows
     averages = candidates.groupBy("industry_group").agg(
         F.avg("gross_margin").alias("industry_avg_gross_margin"),
         F.avg("operating_margin").alias("industry_avg_operating_margin"),
