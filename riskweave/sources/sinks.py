@@ -138,7 +138,18 @@ def current_rows(spark: SparkSession, path: str, schema: str, keys: Sequence[str
     if base := _newest_base(spark, path):
         folded = spark.read.schema(schema).parquet(base[1]).withColumn(BATCH, F.lit(base[0]))
         changes = folded.unionByName(changes.where(F.col(BATCH) > base[0]))
-    return upsert_changes(changes, keys, F.struct(BATCH, *order), keep).drop(BATCH)
+    by = [BATCH, *order]
+    rest = [c for c in changes.columns if c not in keys]
+    if any(kind in f.dataType.simpleString() for f in changes.select(*rest).schema for kind in ("map<", "variant")):  # without an order
+        return upsert_changes(changes, keys, F.struct(*by), keep).drop(BATCH)
+    # columns of the order lead each struct, so that they are moved once with the columns they choose
+    chosen = [c for c in rest if c not in keep and c not in by]
+    fixed = [c for c in keep if c in rest]
+    aggs = [F.max(F.struct(*by, *chosen)).alias("_new")]
+    if fixed:
+        aggs.append(F.min(F.struct(*by, *[c for c in fixed if c not in by])).alias("_old"))
+    merged = changes.groupBy(*keys).agg(*aggs)
+    return merged.select(*[F.col(c if c in keys else f"_old.{c}" if c in fixed else f"_new.{c}").alias(c) for c in changes.columns if c != BATCH])
 
 
 def compact(spark: SparkSession, path: str, schema: str, keys: Sequence[str], keep: Sequence[str] = (), order: Sequence[str] = ()) -> int | None:
