@@ -10,8 +10,8 @@ from riskweave.functions.exprs import strict_key
 
 
 def concept_table(spark: SparkSession) -> DataFrame:
-    rows = [(c, m, i) for i, (c, m) in enumerate(K.CONCEPT_METRICS)]
-    return spark.createDataFrame(rows, "concept string, metric string, priority int")
+    rows = [F.struct(F.lit(c).alias("concept"), F.lit(m).alias("metric"), F.lit(i).alias("priority")) for i, (c, m) in enumerate(K.CONCEPT_METRICS)]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def canonical_facts(facts: DataFrame) -> DataFrame:
@@ -23,16 +23,18 @@ def canonical_facts(facts: DataFrame) -> DataFrame:
 
 def period_metrics(facts: DataFrame) -> DataFrame:
     """Per metric the value filed last; ties go to the concept of higher priority."""
-    known = canonical_facts(facts)
+    known = canonical_facts(facts).withColumn("_place", F.array_position(F.array(*[F.lit(m) for m in K.METRICS]), F.col("metric")))
+    # a date is moved as one; nulls come first in a struct, as the empty text did
+    dated = known.schema["filed"].dataType.typeName() == "date"
     newest = F.struct(
-        F.coalesce(F.col("filed").cast("string"), F.lit("")),
-        -F.col("priority"),
-        F.coalesce("accession_number", F.lit("")),
+        F.col("filed") if dated else F.coalesce(F.col("filed").cast("string"), F.lit("")).alias("filed"),
+        (-F.col("priority")).alias("priority"),
+        F.coalesce("accession_number", F.lit("")).alias("accession"),
         F.col("value"),
     )
-    # one ordered buffer per metric row; the pivot then only moves doubles
-    last = known.groupBy("cik", "period_end", "form", "metric").agg(F.max_by("value", newest).alias("value"))
-    aggs = [F.max(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in K.METRICS]
+    # one ordered buffer per metric row, which holds the value and a number for the metric; the pivot then only moves doubles
+    last = known.groupBy("cik", "period_end", "form", "_place").agg(F.max(newest).alias("_last"))
+    aggs = [F.max(F.when(F.col("_place") == i, F.col("_last.value"))).alias(m) for i, m in enumerate(K.METRICS, 1)]
     return last.groupBy("cik", "period_end", "form").agg(*aggs).select(
         strict_key("cik", "period_end", "form").alias("id"), "cik", "period_end", "form", *K.METRICS
     )
