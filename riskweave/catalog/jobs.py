@@ -108,9 +108,10 @@ def _(t):
 def network_of(t):
     from riskweave.operators import graph as G
 
+    ties = cut_lineage(t.relationships)  # the same for every run
+
     def risk(ml):
         companies = G.company_nodes(t.companies, ml, ml)
-        ties = cut_lineage(t.relationships)
         nodes, edges = G.build_nodes(companies, t.auditors, ties), G.build_edges(companies, t.auditors, ties)
         return G.neighbour_risk(nodes, edges).select(F.col("id").alias("cik"), "network_risk_score")
 
@@ -126,9 +127,9 @@ def _(t):
     from riskweave.sources.runs import Ledger
 
     folder = new_path(t.spark, "scoring")
-    found, digits = cut_lineage(candidates(t)), cut_lineage(conformity(t))
+    found, digits, network = cut_lineage(candidates(t)), cut_lineage(conformity(t)), network_of(t)
     for _ in range(2):
-        done = scoring.scoring_job(found, t.companies, digits, network_of(t), folder, "run-1", AS_OF, TREES)
+        done = scoring.scoring_job(found, t.companies, digits, network, folder, "run-1", AS_OF, TREES)
     log = scoring.audit_log(t.spark, folder).groupBy(F.col("mlflow_run_id").alias("id")).agg(
         F.count("*").alias("audit_records"), F.count(F.when(F.col("is_anomaly"), 1)).alias("_a"), F.countDistinct("cik").alias("_c"))
     return Ledger(t.spark, f"{folder}/runs").states().join(log, "id").select(
