@@ -192,8 +192,8 @@ class Tables:
         )
         lots = (
             li.groupBy(F.col("l_partkey").alias("p"), F.col("l_shipdate").alias("d"))
-            .agg(F.min_by("l_suppkey", F.struct("l_orderkey", "l_linenumber", "l_suppkey")).alias("lead"), F.count(F.lit(1)).alias("n"))
-            .where("n > 1")
+            .agg(F.min(F.struct("l_orderkey", "l_linenumber", "l_suppkey")).alias("first"), F.count(F.lit(1)).alias("n"))
+            .where("n > 1").select("p", "d", F.col("first.l_suppkey").alias("lead"))
         )
         kinds = ["SUBSIDIARY", "PARTNERS_WITH", "CUSTOMER_OF", "JOINT_VENTURE_WITH"]
         ties = (

@@ -10,6 +10,7 @@ from riskweave.operators import network as N
 from riskweave.operators.facts import period_metrics
 from riskweave.plans import marts
 from riskweave.sources import sinks
+from riskweave.sources.tables import Tables
 
 
 def test_dashboard_works_out_candidates_once(spark):
@@ -82,3 +83,14 @@ def test_moves_count_modularity_on_the_way(spark, monkeypatch):
     assert score == pytest.approx(N.modularity(edges, part, "community")) and moved.exceptAll(part).isEmpty()
     monkeypatch.delattr(N, "_modularity")
     assert {r["community_id"] for r in N.louvain(nodes, edges).collect()} == {"a0", "b0", "c0"}
+
+
+def test_leads_of_lots_come_from_one_narrow_pass(spark, tmp_path):
+    line = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_discount double, l_returnflag string, l_shipdate timestamp"
+    day = datetime.datetime(1997, 1, 1)
+    rows = [(2, 1, 8, 5, 1.0, 0.0, "N", day), (1, 2, 8, 6, 2.0, 0.0, "N", day), (1, 1, 8, None, 3.0, 0.0, "N", None), (3, 1, 8, 5, 4.0, 0.0, "N", day), (3, 2, 9, 7, 4.0, 0.0, "N", day)]
+    spark.createDataFrame(rows, line).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1, 1)], "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    ties = Tables(spark, str(tmp_path)).relationships
+    assert [(r["parent_cik"], r["subsidiary_cik"], r["ownership_pct"]) for r in ties.collect()] == [("0000000006", "0000000005", 4.0)]
+    assert "min_by" not in ties._jdf.queryExecution().analyzed().toString()
