@@ -6,29 +6,35 @@ from pyspark.sql import functions as F
 
 from riskweave.catalog.base import CTES, query, rnd, rounded
 from riskweave.functions import constants as K
-from riskweave.session import new_path
+from riskweave.session import new_path, spread_by
 from riskweave.sources import files, nested, sinks
 from riskweave.sources.tables import key10
 
 # --- company facts: one document per order line, with several taxonomies, units and rejected entries ---
 
 
+DOCUMENT_LINES = 50_000  # order lines a task: a document costs far more than its few bytes of input let the planner see
+
+
 def fact_documents(t):
-    f = t.facts
-    entry = lambda val, form, end: F.struct(
-        F.col("accession_number").alias("accn"), F.lit(None).cast("string").alias("start"), end.alias("end"),
-        val.alias("val"), form.alias("form"), F.col("filed").cast("string").alias("filed"))
-    end = F.col("period_end").cast("string")
-    dollars = F.array(entry(F.col("value"), F.col("form"), end), entry(F.lit(None).cast("double"), F.col("form"), end),
-                      entry(F.col("value") * 2, F.lit("8-K"), end))
-    shares = F.array(entry(F.col("line").cast("double"), F.lit("10-Q/A"), end))
-    euros = F.array(entry(F.col("value"), F.col("form"), end))
-    first = F.struct(F.concat(F.lit("Label of "), F.col("concept")).alias("label"), F.create_map(F.lit("USD"), dollars, F.lit("EUR"), euros).alias("units"))
-    second = F.struct(F.lit(None).cast("string").alias("label"), F.create_map(F.lit("shares"), shares).alias("units"))
-    body = F.struct(F.create_map(
-        F.lit("us-gaap"), F.create_map(F.col("concept"), first), F.lit("dei"), F.create_map(F.lit("SharesOutstanding"), second)
-    ).alias("facts"))
-    return f.select("cik", F.to_json(body).alias("body"))
+    """The text is put together part by part, for its values need no escapes; members that are null are left out."""
+    f = t.facts_of(spread_by(t.raw("lineitem"), "l_orderkey", DOCUMENT_LINES))
+    text = F.lit
+    member = lambda name, value, quote: F.coalesce(
+        F.concat(text(f'"{name}":{quote}'), value.cast("string"), text(f"{quote},")), text(""))
+    form = lambda value: F.concat(text('"form":"'), value, text('"}'))
+    shared = F.concat(member("accn", F.col("accession_number"), '"'), member("end", F.col("period_end"), '"'), member("filed", F.col("filed"), '"'))
+    parts = f.select(
+        "cik", "concept", F.concat(text("{"), shared).alias("shared"), member("val", F.col("value"), "").alias("val"),
+        member("val", F.col("value") * 2, "").alias("twice"), member("val", F.col("line"), "").alias("line"), form(F.col("form")).alias("form"))
+    entries = parts.select(
+        "cik", "concept", F.concat("shared", "val", "form").alias("reported"), F.concat("shared", "form").alias("empty"),
+        F.concat("shared", "twice", form(text("8-K"))).alias("other"), F.concat("shared", "line", form(text("10-Q/A"))).alias("shares"))
+    body = F.concat(
+        text('{"facts":{"us-gaap":{"'), "concept", text('":{"label":"Label of '), "concept",
+        text('","units":{"USD":['), "reported", text(","), "empty", text(","), "other", text('],"EUR":['), "reported",
+        text(']}}},"dei":{"SharesOutstanding":{"units":{"shares":['), "shares", text("]}}}}}"))
+    return entries.select("cik", body.alias("body"))
 
 
 _FACT_SQL = """

@@ -53,7 +53,11 @@ class Tables:
     @cached_property
     def facts(self) -> DataFrame:
         """One reported fact per order line."""
-        li = self.raw("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+        return self.facts_of(self.raw("lineitem"))
+
+    def facts_of(self, lines: DataFrame) -> DataFrame:
+        """The facts of the given order lines."""
+        li = lines.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
         o = self.raw("orders").select("o_orderkey", "o_orderdate")
         concept = pick([c for c, _ in K.CONCEPT_METRICS], F.col("l_partkey"))
         quarter_end = F.last_day(F.add_months(F.trunc(F.col("o_orderdate").cast("date"), "quarter"), 2))
