@@ -101,6 +101,28 @@ def test_betweenness_of_held_and_joined_links_agree(spark):
     assert N._walker(links, len(edges) - 1) is None
 
 
+def test_betweenness_walks_several_sources_at_once(monkeypatch):
+    # 300 rings of six with a chord each; a source reaches its ring alone
+    src = np.repeat(np.arange(1800), 1 + (np.arange(1800) % 6 == 0))
+    ends = np.concatenate([[6 * r + (i + 1) % 6] if i else [6 * r + 1, 6 * r + 3] for r in range(300) for i in range(6)]).astype(np.int32)
+    starts = np.concatenate([[0], np.cumsum(np.bincount(src))])
+    walks, single = [], N._dependency
+    monkeypatch.setattr(N, "_dependency", lambda sources, *a: walks.append(len(sources)) or single(sources, *a))
+    together = N._dependency_sums(np.arange(1800), starts, ends)
+    assert len(walks) < 20 and max(walks) == 256
+    walks.clear()
+    alone = N._dependency_sums(np.arange(1800), starts, ends, cells=1)
+    assert walks == [1] * 1800
+    walks.clear()
+    # where the links of three sources do not fit, two are walked at once
+    few = N._dependency_sums(np.arange(1800), starts, ends, room=20)
+    assert set(walks) <= {1, 2}
+    for other in (alone, few):
+        assert all(a == pytest.approx(b) for a, b in zip(together, other, strict=True))
+    # by hand: 1 lies before 2 from 0, 3, 4 and 5; 2 lies before 3, 4, 5 and 0 from 1, for from 0 the chord leads to 3
+    assert together[2].all() and together[0][:6] == pytest.approx([10, 4, 4, 10, 10, 10])
+
+
 def test_betweenness_of_a_cycle_takes_few_jobs(spark):
     n = 40
     edges = spark.createDataFrame([(f"c{i:02d}", f"c{(i + 1) % n:02d}") for i in range(n)], "src string, dst string")
