@@ -1,3 +1,4 @@
+import datetime
 from collections import deque
 
 import numpy as np
@@ -5,6 +6,7 @@ import pytest
 
 from riskweave.operators import graph as G
 from riskweave.operators import network as N
+from riskweave.sources.tables import Tables
 
 
 def graph(spark, n=40, m=55, seed=3):
@@ -192,3 +194,17 @@ def test_chains_stop_at_three_hops(spark):
     edges = spark.createDataFrame([(a, b, "SUBSIDIARY_OF") for a, b in ("ab", "bc", "cd", "de", "ba")], "src string, dst string, edge_type string")
     got = {(r["chain"], r["depth"]) for r in G.ownership_chains(nodes, edges, "a").collect()}
     assert got == {("A > B", 1), ("A > B > C", 2), ("A > B > A", 2), ("A > B > C > D", 3)}
+
+
+def test_lines_are_moved_once_to_their_lots(spark, tmp_path):
+    day, next_day = datetime.datetime(1997, 1, 1), datetime.datetime(1997, 1, 2)
+    # part 8 has a lot on each of two days and a line without a day, the lines without a part are no lot
+    rows = [(4, 1, 8, 5, day), (2, 2, 8, 6, day), (2, 2, 8, 6, day), (3, 1, 8, 7, day), (1, 1, 8, 9, next_day), (5, 1, 8, 6, next_day), (1, 2, 8, 4, None), (6, 1, None, 1, day), (7, 1, None, 2, day)]
+    lines = spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_shipdate timestamp")
+    lines.selectExpr("*", "1.0D l_quantity", "0.0D l_discount", "'N' l_returnflag").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1, 1)], "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    ties = Tables(spark, str(tmp_path)).relationships
+    pairs = sorted((int(r["parent_cik"]), int(r["subsidiary_cik"])) for r in ties.collect())
+    assert pairs == [(6, 5), (6, 7), (9, 6)]
+    # the sales alone are joined, with the orders
+    assert str(ties._jdf.queryExecution().optimizedPlan()).count("Join ") == 1
